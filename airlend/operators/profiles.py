@@ -16,8 +16,6 @@ from airlend.functions import columns as C
 from airlend.operators.cohorts import in_period
 from airlend.operators.dataset import next_day
 
-ONE = F.lit(1)
-
 
 def _mean(total: Column, n: Column) -> Column:
     return total.cast("double") / n
@@ -35,9 +33,9 @@ def monthly_loan_value(loans: DataFrame) -> DataFrame:
 def loans_per_subscriber_month(loans: DataFrame) -> DataFrame:
     """month, n_loans, n_subscribers: how many subscribers took that many loans in the month."""
     per_subscriber = loans.groupBy("msisdn", C.month("loan_ts").alias("month")).agg(
-        F.count(ONE).alias("n_loans")
+        F.count("*").alias("n_loans")
     )
-    return per_subscriber.groupBy("month", "n_loans").agg(F.count(ONE).alias("n_subscribers"))
+    return per_subscriber.groupBy("month", "n_loans").agg(F.count("*").alias("n_subscribers"))
 
 
 def days_between_loans(loans: DataFrame) -> DataFrame:
@@ -46,7 +44,7 @@ def days_between_loans(loans: DataFrame) -> DataFrame:
     Loans of a day are counted first: all but one of them follow at 0 days, and only one row per subscriber
     and day is ordered.
     """
-    days = loans.groupBy("msisdn", F.to_date("loan_ts").alias("date")).agg(F.count(ONE).alias("n"))
+    days = loans.groupBy("msisdn", F.to_date("loan_ts").alias("date")).agg(F.count("*").alias("n"))
     previous = F.lag("date").over(Window.partitionBy("msisdn").orderBy("date"))
     gaps = days.select("n", F.datediff("date", previous).alias("gap"))
     steps = gaps.select(
@@ -64,7 +62,7 @@ def days_between_loans(loans: DataFrame) -> DataFrame:
 def repayment_time(repayment: DataFrame, within: int = 30) -> DataFrame:
     """days_to_pay (NULL for unpaid), n_loans, loan_sum, recovered (within the days given)."""
     return repayment.groupBy("days_to_pay").agg(
-        F.count(ONE).alias("n_loans"),
+        F.count("*").alias("n_loans"),
         F.sum("loan_amount").alias("loan_sum"),
         F.sum("total_paid").alias("paid_sum"),
         F.coalesce(F.max(F.col("days_to_pay") <= within), F.lit(False)).alias("recovered"),
@@ -84,7 +82,7 @@ def loan_size_repayment(repayment: DataFrame, step: int) -> DataFrame:
     """loan_size (lower end of a band `step` wide), n_loans, n_paid, loan_sum, paid_sum."""
     band = (F.floor(F.col("loan_amount") / step) * step).cast("bigint")
     return repayment.groupBy(band.alias("loan_size")).agg(
-        F.count(ONE).alias("n_loans"),
+        F.count("*").alias("n_loans"),
         F.count("total_paid").alias("n_paid"),
         F.sum("loan_amount").alias("loan_sum"),
         F.sum("total_paid").alias("paid_sum"),
@@ -96,11 +94,11 @@ def payments_per_loan_month(payments: DataFrame) -> DataFrame:
     per_loan = (
         payments.filter(F.col("loan_id").isNotNull())
         .groupBy("loan_id", C.month("pay_ts").alias("month"))
-        .agg(F.count(ONE).alias("n"))
+        .agg(F.count("*").alias("n"))
     )
     return (
         per_loan.groupBy("month")
-        .agg(F.count(ONE).alias("n_loans"), F.sum("n").alias("n_payments"))
+        .agg(F.count("*").alias("n_loans"), F.sum("n").alias("n_payments"))
         .withColumn("mean_payments", _mean(F.col("n_payments"), F.col("n_loans")))
     )
 
@@ -108,10 +106,10 @@ def payments_per_loan_month(payments: DataFrame) -> DataFrame:
 def recharges_per_subscriber_month(recharges: DataFrame) -> DataFrame:
     """month, n_subscribers, mean_amount, mean_number: recharges of a subscriber in the month, averaged."""
     per_subscriber = recharges.groupBy("msisdn", C.month("recharge_ts").alias("month")).agg(
-        F.sum("recharge_amount").alias("amount"), F.count(ONE).alias("n")
+        F.sum("recharge_amount").alias("amount"), F.count("*").alias("n")
     )
     totals = per_subscriber.groupBy("month").agg(
-        F.count(ONE).alias("n_subscribers"),
+        F.count("*").alias("n_subscribers"),
         F.sum("amount").alias("amount"),
         F.sum("n").alias("n"),
     )
@@ -125,7 +123,7 @@ def recharges_per_subscriber_month(recharges: DataFrame) -> DataFrame:
 
 def recharge_amounts(recharges: DataFrame) -> DataFrame:
     """recharge_amount, n: the denominations and how often they are bought."""
-    return recharges.groupBy("recharge_amount").agg(F.count(ONE).alias("n"))
+    return recharges.groupBy("recharge_amount").agg(F.count("*").alias("n"))
 
 
 def recharges_before_loan_month(loans: DataFrame, recharges: DataFrame, m0: str, months: int = 3) -> DataFrame:
@@ -154,10 +152,10 @@ def recharges_before_loan_month(loans: DataFrame, recharges: DataFrame, m0: str,
 
 def recharge_days(recharges: DataFrame) -> DataFrame:
     """day_of_week (1 is Sunday), day_of_month, n, n_subscriber_days: when people recharge."""
-    per_day = recharges.groupBy("msisdn", F.to_date("recharge_ts").alias("date")).agg(F.count(ONE).alias("n"))
+    per_day = recharges.groupBy("msisdn", F.to_date("recharge_ts").alias("date")).agg(F.count("*").alias("n"))
     return per_day.groupBy(
         F.dayofweek("date").alias("day_of_week"), F.dayofmonth("date").alias("day_of_month")
-    ).agg(F.sum("n").alias("n"), F.count(ONE).alias("n_subscriber_days"))
+    ).agg(F.sum("n").alias("n"), F.count("*").alias("n_subscriber_days"))
 
 
 def cohort_extract(
