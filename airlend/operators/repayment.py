@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlend.functions.columns import epoch
 from airlend.operators.rolling import HEAVY_ROWS, rolling
 
 
@@ -71,53 +70,38 @@ def repayment_targets(
 DAY_PARTIALS = {"days_n": "sum", "days_sum": "sum", "days_sq": "sum", "days_min": "min", "days_max": "max"}
 
 
-def day_cells(days: Column) -> list[Column]:
-    """The partials of `DAY_PARTIALS` for rows with these days to pay."""
-    days = days.cast("bigint")
-    return [
-        F.when(days.isNotNull(), 1).cast("bigint").alias("days_n"),
-        days.alias("days_sum"),
-        (days * days).alias("days_sq"),
-        days.alias("days_min"),
-        days.alias("days_max"),
-    ]
+# The same as SQL over days_to_pay.
+DAY_CELLS = (
+    "CASE WHEN days_to_pay IS NOT NULL THEN 1L END AS days_n",
+    "CAST(days_to_pay AS BIGINT) AS days_sum",
+    "CAST(days_to_pay AS BIGINT) * days_to_pay AS days_sq",
+    "CAST(days_to_pay AS BIGINT) AS days_min",
+    "CAST(days_to_pay AS BIGINT) AS days_max",
+)
 
 
-def pay_day_columns(windows: Sequence[int]) -> list[Column]:
+def pay_day_columns(windows: Sequence[int]) -> list[str]:
     """{mean,max,min,std}_pay_days_N; the sample deviation is NULL below two values."""
     cells = []
     for n in windows:
-        number, total, square = (F.col(f"days_{part}_back_{n}") for part in ("n", "sum", "sq"))
-        mean = F.when(number > 0, total.cast("double") / number)
+        number, total, square = (f"days_{part}_back_{n}" for part in ("n", "sum", "sq"))
         # n * sum(x^2) - sum(x)^2 in whole numbers: no digits cancel.
-        wide = "decimal(19,0)"
-        spread = number.cast(wide) * square.cast(wide) - total.cast(wide) * total.cast(wide)
-        pairs = number.cast("double") * (number - 1).cast("double")
-        std = F.when(number > 1, F.sqrt(spread.cast("double") / pairs))
+        wide = "CAST({} AS DECIMAL(19, 0))".format
+        spread = f"{wide(number)} * {wide(square)} - {wide(total)} * {wide(total)}"
+        pairs = f"(CAST({number} AS DOUBLE) * ({number} - 1))"
         cells += [
-            mean.alias(f"mean_pay_days_{n}"),
-            F.col(f"days_max_back_{n}").alias(f"max_pay_days_{n}"),
-            F.col(f"days_min_back_{n}").alias(f"min_pay_days_{n}"),
-            std.alias(f"std_pay_days_{n}"),
+            f"CASE WHEN {number} > 0 THEN CAST({total} AS DOUBLE) / {number} END AS mean_pay_days_{n}",
+            f"days_max_back_{n} AS max_pay_days_{n}",
+            f"days_min_back_{n} AS min_pay_days_{n}",
+            f"CASE WHEN {number} > 1 THEN sqrt(CAST({spread} AS DOUBLE) / {pairs}) END AS std_pay_days_{n}",
         ]
     return cells
 
 
-def pay_day_rows(
-    repayment: DataFrame, payload: Column | None = None, known_by_loan_date: bool = False
-) -> DataFrame:
-    """Loans as rows for `rolling`: their days to pay at the loan's second, or at that of the last payment."""
-    loan_at, paid_at = epoch("loan_ts"), epoch("last_pay_ts")
-    results = [] if payload is None else [payload.alias("payload")]
-    if not known_by_loan_date:
-        return repayment.select("msisdn", loan_at.alias("epoch"), *results, *day_cells(F.col("days_to_pay")))
-    repaid = repayment.filter(F.col("last_pay_ts").isNotNull())
-    rows = repaid.select("msisdn", paid_at.alias("epoch"), *day_cells(F.col("days_to_pay")))
-    if payload is None:
-        return rows
-    return rows.unionByName(
-        repayment.select("msisdn", loan_at.alias("epoch"), *results), allowMissingColumns=True
-    )
+def repayments_as_points(repayment: DataFrame) -> DataFrame:
+    """Days to pay at the second of the last payment, as points for `rolling`."""
+    paid = repayment.filter(F.col("last_pay_ts").isNotNull())
+    return paid.selectExpr("msisdn", "unix_seconds(last_pay_ts) AS epoch", *DAY_CELLS)
 
 
 def pay_day_features(
@@ -131,6 +115,10 @@ def pay_day_features(
     An earlier loan may have been repaid after the current one was taken. With `known_by_loan_date` the look
     back is by payment time instead, so that only repayments made before the current loan count.
     """
-    rows = pay_day_rows(repayment, F.struct(*repayment.columns), known_by_loan_date)
-    rolled = rolling(rows, DAY_PARTIALS, windows, heavy_rows=heavy_rows)
-    return rolled.select(*repayment.columns, *pay_day_columns(windows))
+    at_loan = ["msisdn", "unix_seconds(loan_ts) AS epoch", f"struct({', '.join(repayment.columns)}) AS payload"]
+    if known_by_loan_date:
+        points, results = repayments_as_points(repayment), repayment.selectExpr(*at_loan)
+    else:
+        points, results = repayment.selectExpr(*at_loan, *DAY_CELLS), None
+    rolled = rolling(points, DAY_PARTIALS, windows, results=results, heavy_rows=heavy_rows)
+    return rolled.selectExpr(*repayment.columns, *pay_day_columns(windows))

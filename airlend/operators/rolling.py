@@ -25,13 +25,10 @@ Both ways give the same result.
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
 
 from airlend.functions.columns import DAY_SECONDS
 from airlend.sources.tables import stage
@@ -39,56 +36,63 @@ from airlend.sources.tables import stage
 HEAVY_ROWS = 10_000
 BROADCAST_SUBSCRIBERS = 100_000
 
-AGGREGATES: Mapping[str, Callable[[str], Column]] = {"sum": F.sum, "min": F.min, "max": F.max}
-
 # How the pieces of a frame are put together; a piece without rows is NULL and adds nothing.
-COMBINE: Mapping[str, Callable[[list[Column]], Column]] = {
-    "sum": lambda pieces: reduce(operator.add, (F.coalesce(piece, F.lit(0)) for piece in pieces)),
-    "min": lambda pieces: F.least(*pieces) if len(pieces) > 1 else pieces[0],
-    "max": lambda pieces: F.greatest(*pieces) if len(pieces) > 1 else pieces[0],
+COMBINE: Mapping[str, Callable[[list[str]], str]] = {
+    "sum": lambda pieces: " + ".join(f"coalesce({piece}, 0)" for piece in pieces),
+    "min": lambda pieces: f"least({', '.join(pieces)})" if len(pieces) > 1 else pieces[0],
+    "max": lambda pieces: f"greatest({', '.join(pieces)})" if len(pieces) > 1 else pieces[0],
 }
 
 
 def rolling(
-    rows: DataFrame,
+    points: DataFrame,
     partials: Mapping[str, str],
     windows: Sequence[int],
     ahead: Sequence[str] = (),
     back: bool = True,
+    results: DataFrame | None = None,
     heavy_rows: int | None = HEAVY_ROWS,
 ) -> DataFrame:
     """The rows with a payload: the payload's fields, `{partial}_back_{N}` and `{partial}_ahead_{N}`.
 
-    rows      msisdn, epoch (seconds), one column per partial (what the row adds to it, NULL for nothing) and
-              payload, a struct that is NULL where no result is wanted
+    points    msisdn, epoch (seconds) and one column per partial: what the row adds to it, NULL for nothing
+    results   msisdn, epoch and payload, a struct: where aggregates are wanted, for loans that are among the
+              points. Without it the points have a payload column, NULL where none are wanted
     partials  partial name -> 'sum', 'min' or 'max'; over no rows a sum is 0, the others are NULL
     ahead     the partials wanted ahead
 
     Rows without subscriber or time belong to no frame and are left out. The subscribers with more than
-    `heavy_rows` rows are found by a count over the subscriber column, which runs at once; None skips it.
+    `heavy_rows` points are found by a count over the subscriber column, which runs at once; None skips it.
     """
     windows = sorted(set(windows))
     if windows[0] < 1:
         raise ValueError("a window has at least one day")
-    rows = rows.filter(F.col("msisdn").isNotNull() & F.col("epoch").isNotNull())
-    by_subscriber = _Frames(partials, windows, ahead, back)
+    placed = "msisdn IS NOT NULL AND epoch IS NOT NULL"
+    points = points.filter(placed)
+    rows = points
+    if results is not None:
+        rows = points.unionByName(results.filter(placed), allowMissingColumns=True)
+    frames = _Frames(partials, windows, ahead, back)
     if heavy_rows is None:
-        return by_subscriber.in_one_window(rows)
+        return frames.in_one_window(rows)
 
-    heavy = rows.groupBy("msisdn").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > heavy_rows)
+    heavy = points.groupBy("msisdn").agg(F.count("*").alias("n")).filter(F.col("n") > heavy_rows)
     n_heavy = heavy.count()
     if n_heavy == 0:
-        return by_subscriber.in_one_window(rows)
+        return frames.in_one_window(rows)
     heavy = stage(heavy.select("msisdn"), "heavy-subscribers")
     if n_heavy <= BROADCAST_SUBSCRIBERS:
         heavy = F.broadcast(heavy)
-    return by_subscriber.in_one_window(rows.join(heavy, "msisdn", "left_anti")).unionByName(
-        by_subscriber.split_by_day(rows.join(heavy, "msisdn", "left_semi"))
+    return frames.in_one_window(rows.join(heavy, "msisdn", "left_anti")).unionByName(
+        frames.split_by_day(rows.join(heavy, "msisdn", "left_semi"))
     )
 
 
 class _Frames:
-    """The frames of one set of windows and the two ways to aggregate over them."""
+    """The frames of one set of windows and the two ways to aggregate over them.
+
+    The many columns are SQL text: one call to the driver's JVM per projection.
+    """
 
     def __init__(
         self, partials: Mapping[str, str], windows: Sequence[int], ahead: Sequence[str], back: bool
@@ -97,47 +101,44 @@ class _Frames:
         self.windows = windows
         self.wanted = {"back": list(partials) if back else [], "ahead": list(ahead)}
 
-    def _cells(self, frame: WindowSpec, names: Sequence[str]) -> list[Column]:
-        return [AGGREGATES[self.partials[name]](name).over(frame).alias(name) for name in names]
+    def _combined(self) -> list[str]:
+        """The partials of rows that are already combined."""
+        return [f"{how}({name}) AS {name}" for name, how in self.partials.items()]
 
-    def _results(self, pieces: Callable[[str, int], list[str]]) -> list[Column]:
+    def _struct(self, direction: str, window: str, name: str) -> list[str]:
+        """One struct of a direction's partials over a window, none if nothing is wanted in it."""
+        cells = [f"'{n}', {self.partials[n]}({n}) OVER ({window})" for n in self.wanted[direction]]
+        return [f"named_struct({', '.join(cells)}) AS {name}"] if cells else []
+
+    def _results(self, pieces: Callable[[str, int], list[str]]) -> list[str]:
         """Every wanted partial of every window from the structs that `pieces` names."""
         return [
-            COMBINE[self.partials[name]]([F.col(f"{piece}.{name}") for piece in pieces(direction, n)]).alias(
-                f"{name}_{direction}_{n}"
-            )
+            f"{COMBINE[self.partials[name]]([f'{piece}.{name}' for piece in pieces(direction, n)])}"
+            f" AS {name}_{direction}_{n}"
             for direction, names in self.wanted.items()
             for n in self.windows
             for name in names
         ]
 
     def in_one_window(self, rows: DataFrame) -> DataFrame:
-        subscriber = Window.partitionBy("msisdn").orderBy("epoch")
+        subscriber = "PARTITION BY msisdn ORDER BY epoch RANGE BETWEEN"
         bands = []
-        inner = 0
-        for outer in self.windows:
-            near, far = inner * DAY_SECONDS, outer * DAY_SECONDS
-            frames = {
-                "back": subscriber.rangeBetween(-far, -near - 1),
-                "ahead": subscriber.rangeBetween(near + 1 if inner else 0, far),
-            }
-            bands += [
-                F.struct(*self._cells(frame, self.wanted[direction])).alias(f"{direction}_band_{outer}")
-                for direction, frame in frames.items()
-                if self.wanted[direction]
-            ]
-            inner = outer
+        near = 0
+        for n in self.windows:
+            far = n * DAY_SECONDS
+            bands += self._struct(
+                "back", f"{subscriber} {far} PRECEDING AND {near + 1} PRECEDING", f"back_band_{n}"
+            )
+            start = f"{near + 1} FOLLOWING" if near else "CURRENT ROW"
+            bands += self._struct("ahead", f"{subscriber} {start} AND {far} FOLLOWING", f"ahead_band_{n}")
+            near = far
         results = self._results(lambda direction, n: [f"{direction}_band_{m}" for m in self.windows if m <= n])
         return (
-            rows.select("payload", *bands)
-            .filter(F.col("payload").isNotNull())
-            .select("payload.*", *results)
+            rows.selectExpr("payload", *bands).filter("payload IS NOT NULL").selectExpr("payload.*", *results)
         )
 
     def split_by_day(self, rows: DataFrame) -> DataFrame:
         seconds = self._seconds(rows)
-        parts = self._part_days(seconds)
-        whole = self._whole_days(seconds)
         results = self._results(
             lambda direction, n: [
                 f"{direction}_own",
@@ -146,11 +147,12 @@ class _Frames:
             ]
         )
         rolled = (
-            parts.join(whole, ["msisdn", "day"])
-            .filter(F.col("second") <= F.col("last_second"))
-            .select("msisdn", (F.col("day") * DAY_SECONDS + F.col("second")).alias("epoch"), *results)
+            self._part_days(seconds)
+            .join(self._whole_days(seconds), ["msisdn", "day"])
+            .filter("second <= last_second")
+            .selectExpr("msisdn", f"day * {DAY_SECONDS} + second AS epoch", *results)
         )
-        loans = rows.filter(F.col("payload").isNotNull()).select("msisdn", "epoch", "payload")
+        loans = rows.filter("payload IS NOT NULL").select("msisdn", "epoch", "payload")
         return loans.join(rolled, ["msisdn", "epoch"]).select("payload.*", *rolled.columns[2:])
 
     def _seconds(self, rows: DataFrame) -> DataFrame:
@@ -161,13 +163,13 @@ class _Frames:
         if self.wanted["ahead"]:
             offsets += list(self.windows)
         markers = (
-            rows.filter(F.col("payload").isNotNull())
+            rows.filter("payload IS NOT NULL")
             .select("msisdn", "epoch", F.explode(F.array(*map(F.lit, offsets))).alias("offset"))
-            .select(
+            .selectExpr(
                 "msisdn",
-                (F.col("epoch") + F.col("offset") * F.lit(DAY_SECONDS).cast("bigint")).alias("epoch"),
-                (F.col("offset") == 0).alias("is_anchor"),
-                F.lit(True).alias("is_marker"),
+                f"epoch + offset * {DAY_SECONDS}L AS epoch",
+                "offset = 0 AS is_anchor",
+                "true AS is_marker",
             )
         )
         return (
@@ -177,7 +179,7 @@ class _Frames:
             .withColumn("day", F.expr(f"(epoch - second) div {DAY_SECONDS}"))
             .groupBy("msisdn", "day", "second")
             .agg(
-                *(AGGREGATES[how](name).alias(name) for name, how in self.partials.items()),
+                *map(F.expr, self._combined()),
                 F.coalesce(F.max("is_anchor"), F.lit(False)).alias("is_anchor"),
                 F.coalesce(F.max("is_marker"), F.lit(False)).alias("is_marker"),
             )
@@ -186,73 +188,65 @@ class _Frames:
 
     def _part_days(self, seconds: DataFrame) -> DataFrame:
         """Loan seconds with the part of their own day and the parts of the days N days off."""
-        day = Window.partitionBy("msisdn", "day")
         # One row per second, so row frames are exact; all start at the edge of the day and run in one pass.
-        start, here = Window.unboundedPreceding, Window.currentRow
-        frames = {
-            "before": (day.orderBy("second").rowsBetween(start, -1), self.wanted["back"]),
-            "up_to": (day.orderBy("second").rowsBetween(start, here), self.wanted["ahead"]),
-            "from_on": (
-                day.orderBy(F.desc("second")).rowsBetween(start, here),
-                self.wanted["back"] or self.wanted["ahead"],
-            ),
-        }
-        frames = {part: (frame, names) for part, (frame, names) in frames.items() if names}
-        marked = seconds.select(
+        upwards = "PARTITION BY msisdn, day ORDER BY second ROWS BETWEEN UNBOUNDED PRECEDING AND"
+        downwards = "PARTITION BY msisdn, day ORDER BY second DESC ROWS BETWEEN UNBOUNDED PRECEDING AND"
+        from_on_for = "back" if self.wanted["back"] else "ahead"
+        marked = seconds.selectExpr(
             "msisdn",
             "day",
             "second",
             "is_anchor",
             "is_marker",
-            *(F.struct(*self._cells(frame, names)).alias(part) for part, (frame, names) in frames.items()),
+            *self._struct("back", f"{upwards} 1 PRECEDING", "before"),
+            *self._struct("ahead", f"{upwards} CURRENT ROW", "up_to"),
+            *self._struct(from_on_for, f"{downwards} CURRENT ROW", "from_on"),
         ).filter("is_marker")
 
         # The same second of another day is one row at most: a frame of exactly that day picks it.
-        same_second = Window.partitionBy("msisdn", "second").orderBy("day")
-        pieces = {}
+        same_second = "PARTITION BY msisdn, second ORDER BY day RANGE BETWEEN"
+        pieces = []
         if self.wanted["back"]:
-            pieces["back_own"] = F.col("before")
-            for n in self.windows:
-                pieces[f"back_edge_{n}"] = F.max("from_on").over(same_second.rangeBetween(-n, -n))
+            pieces.append("before AS back_own")
+            pieces += [
+                f"max(from_on) OVER ({same_second} {n} PRECEDING AND {n} PRECEDING) AS back_edge_{n}"
+                for n in self.windows
+            ]
         if self.wanted["ahead"]:
-            pieces["ahead_own"] = F.col("from_on")
-            for n in self.windows:
-                pieces[f"ahead_edge_{n}"] = F.max("up_to").over(same_second.rangeBetween(n, n))
-        return (
-            marked.select(
-                "msisdn", "day", "second", "is_anchor", *(piece.alias(name) for name, piece in pieces.items())
-            )
-            .filter("is_anchor")
-            .drop("is_anchor")
+            pieces.append("from_on AS ahead_own")
+            pieces += [
+                f"max(up_to) OVER ({same_second} {n} FOLLOWING AND {n} FOLLOWING) AS ahead_edge_{n}"
+                for n in self.windows
+            ]
+        return marked.selectExpr("msisdn", "day", "second", "is_anchor", *pieces).filter("is_anchor").drop(
+            "is_anchor"
         )
 
     def _whole_days(self, seconds: DataFrame) -> DataFrame:
         """Days with a loan and the bands of whole days around them."""
         days = seconds.groupBy("msisdn", "day").agg(
-            *(AGGREGATES[how](name).alias(name) for name, how in self.partials.items()),
+            *map(F.expr, self._combined()),
             F.max("is_anchor").alias("is_anchor"),
             # These two change nothing: a loan second is marked, and not after the last second of its day.
             # With them both users of `seconds` ask its shuffle for the same columns, and Spark runs it once.
             F.max("is_marker").alias("is_marker"),
             F.max("second").alias("last_second"),
         )
-        subscriber = Window.partitionBy("msisdn").orderBy("day")
+        subscriber = "PARTITION BY msisdn ORDER BY day RANGE BETWEEN"
         bands = []
-        # A window of one day has no whole day between its ends.
-        for inner, outer in zip([1, *self.windows], self.windows):
-            if outer == 1:
-                continue
-            frames = {
-                "back": subscriber.rangeBetween(1 - outer, -inner),
-                "ahead": subscriber.rangeBetween(inner, outer - 1),
-            }
-            bands += [
-                F.struct(*self._cells(frame, self.wanted[direction])).alias(f"{direction}_days_{outer}")
-                for direction, frame in frames.items()
-                if self.wanted[direction]
-            ]
+        near = 1
+        for n in self.windows:
+            # A window of one day has no whole day between its ends.
+            if n > 1:
+                bands += self._struct(
+                    "back", f"{subscriber} {n - 1} PRECEDING AND {near} PRECEDING", f"back_days_{n}"
+                )
+                bands += self._struct(
+                    "ahead", f"{subscriber} {near} FOLLOWING AND {n - 1} FOLLOWING", f"ahead_days_{n}"
+                )
+            near = n
         return (
-            days.select("msisdn", "day", "is_anchor", "is_marker", "last_second", *bands)
+            days.selectExpr("msisdn", "day", "is_anchor", "is_marker", "last_second", *bands)
             .filter("is_anchor AND is_marker")
             .drop("is_anchor", "is_marker")
         )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,53 +44,51 @@ AMOUNT_PARTIALS = {
 AHEAD = tuple(f"{kind}_{part}" for kind in KINDS for part in ("rows", "n", "sum"))
 
 
-def minor_units(dtype: T.DataType) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
-    """From an amount to whole minor units (cents), and back.
+def minor_units(dtype: T.DataType) -> tuple[str, str]:
+    """From an amount to whole minor units (cents), and back, as SQL with {} for the amount.
 
     Sums of whole numbers are as exact as decimal sums and much cheaper; one that leaves the BIGINT range
     raises an error. Amounts of another type, or with too many digits, are left as they are.
     """
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 18:
-        return lambda c: c, lambda c: c
-    unit = F.lit(Decimal(1).scaleb(-dtype.scale))
-    money = T.DecimalType(19 + dtype.scale, dtype.scale)
+        return "{}", "{}"
+    unit = f"{Decimal(1).scaleb(-dtype.scale):f}BD"
     return (
-        lambda c: (c * F.lit(10**dtype.scale)).cast("bigint"),
-        lambda c: (c.cast("decimal(19,0)") * unit).cast(money),
+        f"CAST({{}} * {10**dtype.scale} AS BIGINT)",
+        f"CAST(CAST({{}} AS DECIMAL(19, 0)) * {unit} AS DECIMAL({19 + dtype.scale}, {dtype.scale}))",
     )
 
 
-def amount_cells(amount: Column, op: Column) -> list[Column]:
-    """The partials of `AMOUNT_PARTIALS` for rows with this amount and kind."""
+def amount_cells(amount: str, op: str) -> list[str]:
+    """The partials of `AMOUNT_PARTIALS` for rows with this amount and kind (both SQL)."""
     cells = []
     for kind, code in KINDS.items():
-        of_kind = op == code
         cells += [
-            F.when(of_kind, 1).cast("bigint").alias(f"{kind}_rows"),
-            F.when(of_kind & amount.isNotNull(), 1).cast("bigint").alias(f"{kind}_n"),
-            *(F.when(of_kind, amount).alias(f"{kind}_{part}") for part in ("sum", "min", "max")),
+            f"CASE WHEN {op} = '{code}' THEN 1L END AS {kind}_rows",
+            f"CASE WHEN {op} = '{code}' AND {amount} IS NOT NULL THEN 1L END AS {kind}_n",
+            *(f"CASE WHEN {op} = '{code}' THEN {amount} END AS {kind}_{part}" for part in ("sum", "min", "max")),
         ]
     return cells
 
 
-def lookback_columns(windows: Sequence[int], money: Callable[[Column], Column]) -> list[Column]:
+def lookback_columns(windows: Sequence[int], money: str) -> list[str]:
     """{count,sum,mean,max,min}_{loan,spend}_N. Over no rows the count is 0 and the others are NULL."""
     cells = []
     for n in windows:
         for kind in KINDS:
-            number = F.col(f"{kind}_n_back_{n}")
-            total = F.when(number > 0, money(F.col(f"{kind}_sum_back_{n}")))
+            number = f"{kind}_n_back_{n}"
+            total = f"CASE WHEN {number} > 0 THEN {money.format(f'{kind}_sum_back_{n}')} END"
             cells += [
-                F.col(f"{kind}_rows_back_{n}").alias(f"count_{kind}_{n}"),
-                total.alias(f"sum_{kind}_{n}"),
-                (total.cast("double") / number).alias(f"mean_{kind}_{n}"),
-                money(F.col(f"{kind}_max_back_{n}")).alias(f"max_{kind}_{n}"),
-                money(F.col(f"{kind}_min_back_{n}")).alias(f"min_{kind}_{n}"),
+                f"{kind}_rows_back_{n} AS count_{kind}_{n}",
+                f"{total} AS sum_{kind}_{n}",
+                f"CASE WHEN {number} > 0 THEN CAST({total} AS DOUBLE) / {number} END AS mean_{kind}_{n}",
+                f"{money.format(f'{kind}_max_back_{n}')} AS max_{kind}_{n}",
+                f"{money.format(f'{kind}_min_back_{n}')} AS min_{kind}_{n}",
             ]
     return cells
 
 
-def forward_columns(windows: Sequence[int], money: Callable[[Column], Column]) -> list[Column]:
+def forward_columns(windows: Sequence[int], money: str) -> list[str]:
     """future_{spend_sum,loan_sum,loan_count}_N.
 
     A row of the other kind counts as 0 in a sum, so a sum is NULL only where all rows ahead are of its own
@@ -99,28 +97,20 @@ def forward_columns(windows: Sequence[int], money: Callable[[Column], Column]) -
     cells = []
     for n in windows:
         for kind, other in (("spend", "loan"), ("loan", "spend")):
-            known = (F.col(f"{kind}_n_ahead_{n}") > 0) | (F.col(f"{other}_rows_ahead_{n}") > 0)
-            total = F.when(known, money(F.col(f"{kind}_sum_ahead_{n}")))
-            cells.append(total.alias(f"future_{kind}_sum_{n}"))
-        cells.append(F.col(f"loan_rows_ahead_{n}").alias(f"future_loan_count_{n}"))
+            known = f"{kind}_n_ahead_{n} > 0 OR {other}_rows_ahead_{n} > 0"
+            total = money.format(f"{kind}_sum_ahead_{n}")
+            cells.append(f"CASE WHEN {known} THEN {total} END AS future_{kind}_sum_{n}")
+        cells.append(f"loan_rows_ahead_{n} AS future_loan_count_{n}")
     return cells
 
 
-def _rows(timeline: DataFrame, model_loans: DataFrame | None, units: Callable[[Column], Column]) -> DataFrame:
-    """The time line for `rolling`, with loans as payload: all of them, or those among the model loans, with
-    the model loan's (merged) amount."""
-    at = epoch("ts").alias("epoch")
-    cells = amount_cells(units(F.col("amount")), F.col("op"))
-    loan = F.struct("msisdn", "loan_id", "ts", "amount")
-    is_loan = F.col("op") == LOAN_OP
-    if model_loans is None:
-        return timeline.select("msisdn", at, F.when(is_loan, loan).alias("payload"), *cells)
+def _results(timeline: DataFrame, model_loans: DataFrame) -> DataFrame:
+    """The time line's loans that are among the model loans, with the model loan's (merged) amount."""
     merged = "burst_amount" if "burst_amount" in model_loans.columns else "loan_amount"
-    wanted = model_loans.select("msisdn", "loan_id", F.col(merged).alias("merged_amount")).distinct()
-    results = timeline.filter(is_loan).drop("amount").join(wanted, ["msisdn", "loan_id"])
-    results = results.withColumnRenamed("merged_amount", "amount")
-    return timeline.select("msisdn", at, *cells).unionByName(
-        results.select("msisdn", at, loan.alias("payload")), allowMissingColumns=True
+    wanted = model_loans.select("msisdn", "loan_id", F.col(merged).alias("amount")).distinct()
+    loans = timeline.filter(F.col("op") == LOAN_OP).select("msisdn", "loan_id", "ts")
+    return loans.join(wanted, ["msisdn", "loan_id"]).select(
+        "msisdn", epoch("ts").alias("epoch"), F.struct("msisdn", "loan_id", "ts", "amount").alias("payload")
     )
 
 
@@ -132,11 +122,23 @@ def timeline_features(
     ahead: bool = True,
     heavy_rows: int | None = HEAVY_ROWS,
 ) -> DataFrame:
-    """Look-back and look-ahead features of the loans in one pass over the time line."""
+    """Look-back and look-ahead features of the time line's loans, or of those among the model loans, in one
+    pass over the time line."""
     units, money = minor_units(timeline.schema["amount"].dataType)
-    rows = _rows(timeline, model_loans, units)
-    rolled = rolling(rows, AMOUNT_PARTIALS, windows, AHEAD if ahead else (), back, heavy_rows)
-    return rolled.select(
+    columns = ["msisdn", "unix_seconds(ts) AS epoch", *amount_cells(units.format("amount"), "op")]
+    if model_loans is None:
+        loan = "named_struct('msisdn', msisdn, 'loan_id', loan_id, 'ts', ts, 'amount', amount)"
+        columns.append(f"CASE WHEN op = '{LOAN_OP}' THEN {loan} END AS payload")
+    rolled = rolling(
+        timeline.selectExpr(*columns),
+        AMOUNT_PARTIALS,
+        windows,
+        AHEAD if ahead else (),
+        back,
+        None if model_loans is None else _results(timeline, model_loans),
+        heavy_rows,
+    )
+    return rolled.selectExpr(
         "msisdn",
         "loan_id",
         "ts",

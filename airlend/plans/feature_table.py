@@ -7,10 +7,8 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from airlend import schemas as S
-from airlend.functions.columns import epoch
 from airlend.operators import cleaning, dataset, repayment
 from airlend.operators import timeline as tl
 from airlend.operators.bursts import collapse_bursts
@@ -106,26 +104,26 @@ def build_feature_table(
     # Only what lies within the longest window of a model loan can matter to it.
     reach = timedelta(days=windows[-1])
     near = ((date.fromisoformat(lo) - reach).isoformat(), (date.fromisoformat(hi) + reach).isoformat())
-    rows = _rows(in_period(repaid, "loan_ts", *near), in_period(recharges, "recharge_ts", *near), model)
-    if cfg.known_by_loan_date:
-        paid = in_period(repaid, "last_pay_ts", *near)
-        rows = rows.drop(*repayment.DAY_PARTIALS).unionByName(
-            repayment.pay_day_rows(paid, known_by_loan_date=True), allowMissingColumns=True
-        )
-
+    units, money = tl.minor_units(repaid.schema["loan_amount"].dataType)
     rolled = rolling(
-        rows, tl.AMOUNT_PARTIALS | repayment.DAY_PARTIALS, windows, tl.AHEAD, heavy_rows=cfg.heavy_rows
+        _points(repaid, recharges, near, units, cfg.known_by_loan_date),
+        tl.AMOUNT_PARTIALS | repayment.DAY_PARTIALS,
+        windows,
+        tl.AHEAD,
+        results=model.selectExpr(
+            "msisdn",
+            "unix_seconds(loan_ts) AS epoch",
+            f"struct({', '.join(LOAN_FIELDS)}, total_paid, days_to_pay) AS payload",
+        ),
+        heavy_rows=cfg.heavy_rows,
     )
-    _, money = tl.minor_units(repaid.schema["loan_amount"].dataType)
-    return rolled.select(
+    paid = "days_to_pay <= {n} AND total_paid >= burst_amount" if cfg.require_full_repayment else "days_to_pay <= {n}"
+    return rolled.selectExpr(
         *LOAN_FIELDS,
         *tl.lookback_columns(windows, money),
         *tl.forward_columns(windows, money),
         *repayment.pay_day_columns(windows),
-        *(
-            repayment.target(n, cfg.require_full_repayment, "burst_amount").alias(f"target_{n}")
-            for n in windows
-        ),
+        *(f"CASE WHEN {paid.format(n=n)} THEN 1 ELSE 0 END AS target_{n}" for n in windows),
     )
 
 
@@ -144,22 +142,20 @@ def _chosen_window(repaid: DataFrame, model: DataFrame, payments: DataFrame, rec
     return candidates.filter("chosen").first()
 
 
-def _rows(repaid: DataFrame, recharges: DataFrame, model: DataFrame) -> DataFrame:
-    """Loans, recharges and model loans (with payload) as rows for `rolling`."""
-    units, _ = tl.minor_units(repaid.schema["loan_amount"].dataType)
+def _points(
+    repaid: DataFrame, recharges: DataFrame, near: tuple[str, str], units: str, known_by_loan_date: bool
+) -> DataFrame:
+    """Loans with their days to pay, and recharges, as points for `rolling`."""
 
-    def points(df: DataFrame, ts: str, amount: str, op: str, *more) -> DataFrame:
-        cells = tl.amount_cells(units(F.col(amount)), F.lit(op))
-        return df.select("msisdn", epoch(ts).alias("epoch"), *cells, *more)
+    def amounts(df: DataFrame, ts: str, amount: str, op: str, more: Sequence[str] = ()) -> DataFrame:
+        cells = tl.amount_cells(units.format(amount), f"'{op}'")
+        return in_period(df, ts, *near).selectExpr("msisdn", f"unix_seconds({ts}) AS epoch", *cells, *more)
 
-    days = repayment.day_cells(F.col("days_to_pay"))
-    wanted = F.struct(*LOAN_FIELDS, "total_paid", "days_to_pay").alias("payload")
-    return (
-        points(repaid, "loan_ts", "loan_amount", S.LOAN_OP, *days)
-        .unionByName(
-            points(recharges, "recharge_ts", "recharge_amount", S.RECHARGE_OP), allowMissingColumns=True
-        )
-        .unionByName(
-            model.select("msisdn", epoch("loan_ts").alias("epoch"), wanted), allowMissingColumns=True
-        )
+    days = () if known_by_loan_date else repayment.DAY_CELLS
+    points = amounts(repaid, "loan_ts", "loan_amount", S.LOAN_OP, days).unionByName(
+        amounts(recharges, "recharge_ts", "recharge_amount", S.RECHARGE_OP), allowMissingColumns=True
     )
+    if known_by_loan_date:
+        paid = repayment.repayments_as_points(in_period(repaid, "last_pay_ts", *near))
+        points = points.unionByName(paid, allowMissingColumns=True)
+    return points

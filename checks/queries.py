@@ -35,21 +35,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 def plain(df: DataFrame) -> DataFrame:
     """Types that compare across engines: times without zone, money as double, whole numbers as BIGINT."""
 
-    def cell(field: T.StructField):
-        column = F.col(field.name)
+    def cell(field: T.StructField) -> str:
         if isinstance(field.dataType, (T.TimestampType, T.DateType)):
-            return column.cast("timestamp_ntz").alias(field.name)
+            return f"CAST({field.name} AS TIMESTAMP_NTZ) AS {field.name}"
         if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
+            return f"CAST({field.name} AS DOUBLE) AS {field.name}"
         if isinstance(field.dataType, T.IntegralType):
-            return column.cast("bigint").alias(field.name)
-        return column
+            return f"CAST({field.name} AS BIGINT) AS {field.name}"
+        return field.name
 
-    return df.select(*(cell(field) for field in df.schema))
+    return df.selectExpr(*(cell(field) for field in df.schema))
 
 
 def _rounded(df: DataFrame, *prefixes: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith(prefixes)})
+    return df.selectExpr(*(f"round({c}, 6) AS {c}" if c.startswith(prefixes) else c for c in df.columns))
 
 
 def q_typed_ledger(spark, d):
