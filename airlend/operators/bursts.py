@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlend.operators.repayment import paid_totals
+from airlend.operators.repayment import paid_per_loan
 
 
 def collapse_bursts(repaid: DataFrame, unit: str = "minute") -> DataFrame:
@@ -31,5 +31,4 @@ def collapse_bursts(repaid: DataFrame, unit: str = "minute") -> DataFrame:
 
 def merge_loan_bursts(loans: DataFrame, payments: DataFrame, unit: str = "minute") -> DataFrame:
     """Bursts with what was paid on all their loans and the first loan's own last payment time."""
-    paid = paid_totals(payments).drop("msisdn")
-    return collapse_bursts(loans.join(paid, "loan_id", "left"), unit)
+    return collapse_bursts(loans.join(paid_per_loan(payments), "loan_id", "left"), unit)

@@ -10,17 +10,31 @@ from pyspark.sql import functions as F
 from airlend.operators.rolling import HEAVY_ROWS, rolling
 
 
-def paid_totals(payments: DataFrame) -> DataFrame:
-    """Per loan: total paid, last payment time and the subscriber of that payment.
+def paid_per_loan(payments: DataFrame, *keys: str) -> DataFrame:
+    """total_paid and last_pay_ts per loan id (and further keys).
 
     Payments that name no loan cannot be joined and are left out before the shuffle.
     """
-    last = F.max(F.struct("pay_ts", "msisdn"))
     return (
         payments.filter(F.col("loan_id").isNotNull())
-        .groupBy("loan_id")
-        .agg(F.sum("pay_amount").alias("total_paid"), last.alias("last"))
-        .select("loan_id", "last.msisdn", "total_paid", F.col("last.pay_ts").alias("last_pay_ts"))
+        .groupBy("loan_id", *keys)
+        .agg(F.sum("pay_amount").alias("total_paid"), F.max("pay_ts").alias("last_pay_ts"))
+    )
+
+
+def paid_totals(payments: DataFrame) -> DataFrame:
+    """Per loan: total paid, last payment time and the subscriber of that payment (of several at that time
+    the last by number).
+
+    Payments are first reduced per loan and subscriber by a hash aggregate; only the few rows left, mostly one
+    per loan, are compared as structs.
+    """
+    per_payer = paid_per_loan(payments, "msisdn")
+    last = F.max(F.struct("last_pay_ts", "msisdn"))
+    return (
+        per_payer.groupBy("loan_id")
+        .agg(F.sum("total_paid").alias("total_paid"), last.alias("last"))
+        .select("loan_id", "last.msisdn", "total_paid", "last.last_pay_ts")
     )
 
 
