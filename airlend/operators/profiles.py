@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from airlend.functions import columns as C
 from airlend.operators.cohorts import in_period
 from airlend.operators.dataset import next_day
+from airlend.operators.skew import filter_by_subscribers
 
 
 def _mean(total: Column, n: Column) -> Column:
@@ -169,7 +170,8 @@ def cohort_extract(
     """Loans, payments and recharges of the history for subscribers with one of the number endings who took a
     loan in the loan period. Periods are first and last day.
 
-    The ending is tested on every table before the join, so only matching rows are shuffled.
+    The ending is tested on every table before the join, so only matching rows are shuffled, and the rows of
+    one subscriber are spread over several join tasks.
     """
 
     def ending(df: DataFrame) -> DataFrame:
@@ -182,7 +184,9 @@ def cohort_extract(
         raise ValueError("the number endings must have one length")
     cohort = ending(days(loans, "loan_ts", loan_period)).select("msisdn").distinct()
     tables = ((loans, "loan_ts"), (payments, "pay_ts"), (recharges, "recharge_ts"))
-    return tuple(ending(days(df, ts, history)).join(cohort, "msisdn", "left_semi") for df, ts in tables)
+    return tuple(
+        filter_by_subscribers(ending(days(df, ts, history)), cohort, "left_semi", spread_by=ts) for df, ts in tables
+    )
 
 
 def entity_daily_recharges(recharges: DataFrame) -> DataFrame:

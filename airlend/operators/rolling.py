@@ -31,9 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlend.functions.columns import DAY_SECONDS
+from airlend.operators.skew import filter_by_subscribers
 from airlend.sources.tables import stage
 
-HEAVY_ROWS = 10_000
+# From about here on splitting by day is cheaper than frames over all rows of a subscriber.
+HEAVY_ROWS = 2_000
+# Up to here the heavy subscribers are some megabytes and are broadcast; beyond, joined with salts.
 BROADCAST_SUBSCRIBERS = 100_000
 
 # How the pieces of a frame are put together; a piece without rows is NULL and adds nothing.
@@ -81,11 +84,14 @@ def rolling(
     if n_heavy == 0:
         return frames.in_one_window(rows)
     heavy = stage(heavy.select("msisdn"), "heavy-subscribers")
-    if n_heavy <= BROADCAST_SUBSCRIBERS:
-        heavy = F.broadcast(heavy)
-    return frames.in_one_window(rows.join(heavy, "msisdn", "left_anti")).unionByName(
-        frames.split_by_day(rows.join(heavy, "msisdn", "left_semi"))
-    )
+
+    def part(how: str) -> DataFrame:
+        if n_heavy <= BROADCAST_SUBSCRIBERS:
+            return rows.join(F.broadcast(heavy), "msisdn", how)
+        return filter_by_subscribers(rows, heavy, how, spread_by="epoch")
+
+    light = frames.in_one_window(part("left_anti"))
+    return light.unionByName(frames.split_by_day(part("left_semi")))
 
 
 class _Frames:

@@ -50,9 +50,11 @@ def write_features(df: DataFrame, path: str, partition_by: str = "loan_month", t
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named (tests, one machine)."""
+    """The cluster's checkpoint folder. Only a local session that names none gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="airlend-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

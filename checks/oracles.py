@@ -454,7 +454,7 @@ def oracle_sql() -> dict[str, str]:
             paid=PAID,
         ),
         "loan_repayment": repaid_sql(f"select {repaid_columns}, {', '.join(targets(PAY_DAY_WINDOWS))} from repaid"),
-        "full_repayment_targets": repaid_sql(
+        "t14_full_repayment_targets": repaid_sql(
             "select msisdn, loan_id, "
             + ", ".join(targets(PAY_DAY_WINDOWS, "days_to_pay <= {n} and total_paid >= loan_amount"))
             + " from repaid"

@@ -265,7 +265,6 @@ QUERIES: dict[str, Query] = {
     "read_sources": q_read_sources,
     "paid_totals": lambda s, d: repayment.paid_totals(roles.payments(s, d)),
     "loan_repayment": q_loan_repayment,
-    "full_repayment_targets": q_full_repayment_targets,
     "pay_day_features": _pay_days(known=False),
     "pay_day_features_known": _pay_days(known=True),
     "merge_loan_bursts": q_merge_loan_bursts,
@@ -297,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "t11_recharge_days": lambda s, d: profiles.recharge_days(roles.recharges(s, d)),
     "t12_cohort_extract": q_cohort_extract,
     "t13_entity_daily_recharges": lambda s, d: profiles.entity_daily_recharges(roles.event_recharges(s, d)),
+    "t14_full_repayment_targets": q_full_repayment_targets,
     "t15_subscribers_per_amount": lambda s, d: profiles.subscribers_per_amount(roles.event_loans(s, d)),
 }
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from airlend.operators import rolling
 from airlend.operators import timeline as tl
 from tests.helpers import START, at, by, loans, timeline
 
@@ -122,6 +123,24 @@ def test_against_brute_force(spark, heavy_rows):
             assert row[name] == value, (row.loan_id, name)
 
 
+def test_many_heavy_subscribers_are_joined_with_salts(spark, monkeypatch):
+    monkeypatch.setattr(rolling, "BROADCAST_SUBSCRIBERS", 0)
+    line = timeline(spark, random_rows(8, n=90))
+    ours = tl.timeline_features(line, None, [1, 7], heavy_rows=28)
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert sorted(map(str, ours.collect())) == sorted(
+        map(str, tl.timeline_features(line, None, [1, 7], heavy_rows=None).collect())
+    )
+
+
+def test_the_split_plan_runs_its_base_once(spark):
+    ours = tl.timeline_features(timeline(spark, random_rows(9, n=60)), None, [1, 7], heavy_rows=0)
+    ours.collect()
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "Python" not in plan
+
+
 def test_later_rows_do_not_change_the_look_back(spark):
     rows = random_rows(5, n=120)
     cut = START + timedelta(days=20)
