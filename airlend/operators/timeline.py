@@ -44,13 +44,15 @@ AMOUNT_PARTIALS = {
 AHEAD = tuple(f"{kind}_{part}" for kind in KINDS for part in ("rows", "n", "sum"))
 
 
-def minor_units(dtype: T.DataType) -> tuple[str, str]:
-    """From an amount to whole minor units (cents), and back, as SQL with {} for the amount.
+def minor_units(*dtypes: T.DataType) -> tuple[str, str]:
+    """From amounts of these types to whole minor units (cents), and back, as SQL with {} for the amount.
 
     Sums of whole numbers are as exact as decimal sums and much cheaper; one that leaves the BIGINT range
-    raises an error. Amounts of another type, or with too many digits, are left as they are.
+    raises an error. Amounts that are no decimals, have too many digits or different scales are left as they
+    are.
     """
-    if not isinstance(dtype, T.DecimalType) or dtype.precision > 18:
+    dtype = dtypes[0]
+    if not all(isinstance(d, T.DecimalType) and d.precision <= 18 and d.scale == dtype.scale for d in dtypes):
         return "{}", "{}"
     unit = f"{Decimal(1).scaleb(-dtype.scale):f}BD"
     return (

@@ -24,7 +24,8 @@ class FeatureConfig:
     windows        look-back and look-ahead windows in days, also the days of the targets
     target_days    days after a loan that the history must cover
     min_rows       model loans that a largest window must leave
-    restrict       keep the windows and the model loans that the history can support
+    restrict       keep the windows and the model loans that the history can support (if no window leaves
+                   enough loans, the smallest and what it leaves)
     tiers          tiers of the model loans, None for all
     burst_unit     loans within this unit of time are one loan
     known_by_loan_date, require_full_repayment   see `pay_day_features` and `repayment_targets`
@@ -104,7 +105,9 @@ def build_feature_table(
     # Only what lies within the longest window of a model loan can matter to it.
     reach = timedelta(days=windows[-1])
     near = ((date.fromisoformat(lo) - reach).isoformat(), (date.fromisoformat(hi) + reach).isoformat())
-    units, money = tl.minor_units(repaid.schema["loan_amount"].dataType)
+    units, money = tl.minor_units(
+        repaid.schema["loan_amount"].dataType, recharges.schema["recharge_amount"].dataType
+    )
     rolled = rolling(
         _points(repaid, recharges, near, units, cfg.known_by_loan_date),
         tl.AMOUNT_PARTIALS | repayment.DAY_PARTIALS,

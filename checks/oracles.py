@@ -483,6 +483,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "lookback_features": timeline_sql(lookback_cells(EVENT_WINDOWS)),
         "forward_features": timeline_sql(forward_cells(EVENT_WINDOWS)),
+        "timeline_features": timeline_sql(lookback_cells(EVENT_WINDOWS) + forward_cells(EVENT_WINDOWS)),
+        "timeline_features_by_day": timeline_sql(lookback_cells(EVENT_WINDOWS) + forward_cells(EVENT_WINDOWS)),
         "order_lookback_features": sql(
             f"""select msisdn, loan_id, ts, {money('amount', 'amount')},
                {', '.join(cell.rsplit(' as ', 1)[1] for cell in order_cells)}

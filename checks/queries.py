@@ -272,6 +272,10 @@ QUERIES: dict[str, Query] = {
     "timeline_union": q_timeline_union,
     "lookback_features": lambda s, d: tl.lookback_features(roles.event_timeline(s, d), None, EVENT_WINDOWS),
     "forward_features": lambda s, d: tl.forward_features(roles.event_timeline(s, d), None, EVENT_WINDOWS),
+    "timeline_features": lambda s, d: tl.timeline_features(roles.event_timeline(s, d), None, EVENT_WINDOWS),
+    "timeline_features_by_day": lambda s, d: tl.timeline_features(
+        roles.event_timeline(s, d), None, EVENT_WINDOWS, heavy_rows=0
+    ),
     "order_lookback_features": q_order_lookback,
     "future_spend_corrected": q_future_spend_corrected,
     "date_spans": q_date_spans,

@@ -153,6 +153,18 @@ def test_feature_table(spark):
         assert sorted(map(str, other)) == sorted(map(str, rows))
 
 
+def test_amounts_of_different_scale(spark):
+    taken, paid, spent = lending(spark)
+    finer = spent.selectExpr("msisdn", "recharge_ts", "cast(recharge_amount + 0.125 as decimal(18,3)) recharge_amount")
+    cfg = config(restrict=False, windows=(10,))
+    rows = by(build_feature_table(taken, paid, finer, cfg).collect(), "msisdn", "loan_id")
+    plain = build_feature_table(taken, paid, spent, cfg).collect()
+    for row in plain:
+        if row.count_spend_10:
+            more = row.count_spend_10 * Decimal("0.125")
+            assert rows[row.msisdn, row.loan_id].sum_spend_10 == row.sum_spend_10 + more
+
+
 def test_feature_table_options(spark):
     tables = lending(spark)
     whole = build_feature_table(*tables, config(restrict=False, windows=(3, 10)))

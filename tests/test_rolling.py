@@ -174,6 +174,15 @@ def test_future_spend_corrected(spark):
     assert found[1].future_spend_sum_corrected_7 == pytest.approx(30 - 10 - 2.2)
 
 
+@WAYS
+@pytest.mark.parametrize("kind", ["double", "decimal(30,4)", "decimal(9,3)"])
+def test_other_amount_types(spark, kind, heavy_rows):
+    rows = [("a", 1, at(0), 5.25, "L"), ("a", 2, at(1), 6.5, "L")]
+    line = timeline(spark, rows).selectExpr("msisdn", "loan_id", "ts", f"cast(amount as {kind}) amount", "op")
+    found = by(tl.timeline_features(line, None, [7], heavy_rows=heavy_rows).collect(), "loan_id")
+    assert float(found[2].sum_loan_7) == 5.25 and float(found[1].future_loan_sum_7) == 11.75
+
+
 def test_windows_need_a_day(spark):
     with pytest.raises(ValueError):
         tl.lookback_features(timeline(spark, [("a", 1, at(0), 5, "L")]), None, [0, 7])
