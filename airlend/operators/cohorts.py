@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,26 +42,28 @@ def subscribers_with_amount(finance: DataFrame, amount: int) -> DataFrame:
     return finance.filter(F.col("chosen_amount") == amount).select("msisdn").distinct()
 
 
-def cohort_recharges(
-    cohort: DataFrame, ledger: DataFrame, periods: Mapping[str, tuple[str, str]]
-) -> DataFrame:
-    """Per cohort member, the customer recharges of each period; members without any are left out.
-
-    Repeated ledger rows count once. The ledger is reduced to a row per subscriber before it meets the
-    cohort, so a subscriber with very many rows never lands in one join task.
-    """
+def period_recharges(ledger: DataFrame, periods: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Per subscriber, the customer recharges of each period, for subscribers with any. Repeated ledger rows
+    count once."""
     tests = {name: C.period("event_ts", lo, hi) for name, (lo, hi) in periods.items()}
-    any_period = None
-    for test in tests.values():
-        any_period = test if any_period is None else any_period | test
-    per_subscriber = (
+    return (
         customer_recharges(ledger)
-        .filter(any_period)
+        .filter(reduce(operator.or_, tests.values()))
         .dropDuplicates()
         .groupBy("msisdn")
         .agg(*(F.sum(F.when(test, F.col("amount"))).alias(name) for name, test in tests.items()))
     )
-    return per_subscriber.join(cohort.select("msisdn").distinct(), "msisdn", "left_semi")
+
+
+def cohort_recharges(
+    cohort: DataFrame, ledger: DataFrame, periods: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """Per cohort member, the customer recharges of each period; members without any are left out.
+
+    The ledger is reduced to a row per subscriber before it meets the cohort, so a subscriber with very many
+    rows never lands in one join task.
+    """
+    return period_recharges(ledger, periods).join(cohort.select("msisdn").distinct(), "msisdn", "left_semi")
 
 
 def m0_daily_recharges(finance: DataFrame, ledger: DataFrame, m0: tuple[str, str]) -> DataFrame:

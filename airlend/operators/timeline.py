@@ -41,7 +41,7 @@ AMOUNT_PARTIALS = {
     for kind in KINDS
     for part, how in (("rows", "sum"), ("n", "sum"), ("sum", "sum"), ("min", "min"), ("max", "max"))
 }
-AHEAD = tuple(f"{kind}_{part}" for kind in KINDS for part in ("rows", "n", "sum"))
+AHEAD = ("loan_rows", "loan_n", "loan_sum", "spend_rows", "spend_sum")
 
 
 def minor_units(*dtypes: T.DataType) -> tuple[str, str]:
@@ -93,16 +93,17 @@ def lookback_columns(windows: Sequence[int], money: str) -> list[str]:
 def forward_columns(windows: Sequence[int], money: str) -> list[str]:
     """future_{spend_sum,loan_sum,loan_count}_N.
 
-    A row of the other kind counts as 0 in a sum, so a sum is NULL only where all rows ahead are of its own
-    kind and have no amount.
+    A row of the other kind counts as 0 in a sum. The loan itself lies ahead, so the spend sum is never NULL;
+    the loan sum is where there are only loans ahead and none has an amount.
     """
     cells = []
     for n in windows:
-        for kind, other in (("spend", "loan"), ("loan", "spend")):
-            known = f"{kind}_n_ahead_{n} > 0 OR {other}_rows_ahead_{n} > 0"
-            total = money.format(f"{kind}_sum_ahead_{n}")
-            cells.append(f"CASE WHEN {known} THEN {total} END AS future_{kind}_sum_{n}")
-        cells.append(f"loan_rows_ahead_{n} AS future_loan_count_{n}")
+        known = f"loan_n_ahead_{n} > 0 OR spend_rows_ahead_{n} > 0"
+        cells += [
+            f"{money.format(f'spend_sum_ahead_{n}')} AS future_spend_sum_{n}",
+            f"CASE WHEN {known} THEN {money.format(f'loan_sum_ahead_{n}')} END AS future_loan_sum_{n}",
+            f"loan_rows_ahead_{n} AS future_loan_count_{n}",
+        ]
     return cells
 
 

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from airlend.operators.cohorts import cohort_recharges, in_period, with_amount_bucket
+from airlend.operators.cohorts import in_period, period_recharges, with_amount_bucket
 
 
 def month_period(m0: str, offset: int = 0) -> tuple[str, str]:
@@ -30,11 +30,12 @@ def cohort_bucket_recharges(
 ) -> DataFrame:
     """msisdn, qualified_bucket and the customer recharges of each month around M0.
 
-    A subscriber who qualified for amounts in several buckets has a row in each, so at most one row per
-    bucket: the buckets are reduced before they meet the sums.
+    A subscriber who qualified for amounts in several buckets has one row in each. Recharges are reduced to a
+    row per subscriber and advances to one per subscriber and bucket; their join is then small on both sides
+    and also leaves out who is not in the cohort.
     """
     cohort = with_amount_bucket(in_period(finance, "advance_ts", *month_period(m0)))
     periods = {offset_name(offset): month_period(m0, offset) for offset in offsets}
-    sums = cohort_recharges(cohort, ledger, periods)
     buckets = cohort.select("msisdn", "qualified_bucket").distinct()
-    return sums.join(buckets, "msisdn", "left").select("msisdn", "qualified_bucket", *periods)
+    sums = period_recharges(ledger, periods)
+    return sums.join(buckets, "msisdn").select("msisdn", "qualified_bucket", *periods)
