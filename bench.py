@@ -27,6 +27,7 @@ HEADLINE = (
     "pay_day_features",
     "lookback_features",
     "forward_features",
+    "timeline_features",
     "future_spend_corrected",
     "order_lookback_features",
     "daily_sample",
