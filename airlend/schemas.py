@@ -108,6 +108,14 @@ WIDE_LEDGER_COLUMNS = [
     "profile_eligibility",
     "raw_record",
 ]
+UNUSED_LEDGER_COLUMNS = [
+    "created_on",
+    "loan_amount",
+    "service_fee_amount",
+    "in_loan_balance",
+    "in_service_fee_balance",
+    "file_name",
+]
 FINANCE_COLUMNS = {
     "advancedate": "advance_ts",
     "advancestatus": "advance_status",

@@ -363,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
                    case when event_id % 7 <> 0 then event_type end as entity,
                    case when event_id % 7 <> 0 then cast(user_id as varchar) end as entity_name
             from events""",
-        "typed_ledger": f"""
+        "typed_ledger": """
             select cast(user_id as varchar) as msisdn, event_id as advance_id, date_trunc('second', ts) as event_ts,
                    case when event_id % 11 <> 0 then cast(value as double) end as amount,
                    0::bigint as operation_type,
@@ -371,6 +371,17 @@ def oracle_sql() -> dict[str, str]:
                    strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
                    date_trunc('day', ts)::timestamp as day
             from events where ts < timestamp '2024-01-25'""",
+        "prepared_ledger": """
+            select cast(user_id as varchar) as msisdn, event_id as advance_id, date_trunc('second', ts) as event_ts,
+                   case when event_id % 11 <> 0 then cast(value as double) end as amount,
+                   0::bigint as operation_type,
+                   case when event_id % 2 = 0 then 1::bigint end as profile_eligibility,
+                   strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
+                   date_trunc('day', ts)::timestamp as day,
+                   case when event_id % 7 <> 0 then event_type end as transaction_text,
+                   case when event_id % 7 <> 0 then event_type end as entity,
+                   case when event_id % 7 <> 0 then cast(user_id as varchar) end as entity_name
+            from events where ts < timestamp '2024-01-25'""",
         "typed_finance": """
             select cast(o_custkey as varchar) as msisdn, o_orderdate as advance_ts, o_orderkey % 4 as advance_status,
                    o_totalprice as qualified_amount,

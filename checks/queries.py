@@ -14,6 +14,7 @@ from airlend.operators import bursts, cleaning, cohorts, dataset, ledger, profil
 from airlend.operators import timeline as tl
 from airlend.plans.cohort import cohort_bucket_recharges, month_period
 from airlend.plans.feature_table import FeatureConfig, build_feature_table, prepare_sources
+from airlend.plans.ledger import prepare_ledger
 from airlend.sources import tables
 from checks import roles
 
@@ -57,6 +58,11 @@ def q_typed_ledger(spark, d):
     return cohorts.in_period(typed, "event_ts", hi="2024-01-25")
 
 
+def q_prepared_ledger(spark, d):
+    raw = roles.raw_ledger(spark, d).withColumns({"created_on": F.lit("x"), "file_name": F.lit("y")})
+    return prepare_ledger(raw, cut_over="2024-01-25")
+
+
 def q_type_template(spark, d):
     raw = roles.raw_advances(spark, d)
     return cleaning.type_template(cleaning.to_template(cleaning.dedupe(raw), S.LOAN_COLUMNS), S.LOANS)
@@ -243,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "recharge_type_daily": lambda s, d: ledger.recharge_type_daily(roles.ledger(s, d)),
     "split_raw_record": lambda s, d: cleaning.split_raw_record(roles.raw_ledger(s, d)),
     "typed_ledger": q_typed_ledger,
+    "prepared_ledger": q_prepared_ledger,
     "typed_finance": lambda s, d: cleaning.type_finance(roles.raw_finance(s, d)),
     "normalise_msisdn": lambda s, d: cleaning.normalise_msisdn(roles.numbers(s, d)),
     "type_template": q_type_template,

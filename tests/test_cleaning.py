@@ -3,6 +3,7 @@ from decimal import Decimal
 
 from airlend import schemas as S
 from airlend.operators import cleaning
+from airlend.plans.ledger import prepare_ledger
 from airlend.sources.tables import read_ledger
 from tests.helpers import by
 
@@ -74,6 +75,16 @@ def test_ledger_read_by_position(spark, tmp_path):
     assert wide.columns == S.WIDE_LEDGER_COLUMNS[:8]
 
 
+def test_prepare_ledger_from_the_wide_layout(spark):
+    values = ["1", "7", "2023-04-22 23:59:59", "5.0", "t", "c", "Customer", "0", "9", "9", "9", "9", "f", "1"]
+    record = "a,b,c,Recharge,e,f,x-Bank,g,h,i,y-Shop"
+    rows = [tuple(values + [record]), tuple(values[:2] + ["2023-04-23 00:00:00"] + values[3:] + [record])]
+    raw = spark.createDataFrame(rows, S.WIDE_LEDGER_COLUMNS)
+    (row,) = prepare_ledger(raw, cut_over="2023-04-23").collect()
+    assert (row.amount, row.operation_type, row.entity, row.entity_name) == (5.0, 0, "Bank", "Shop")
+    assert "file_name" not in row and "raw_record" not in row and row.day == datetime(2023, 4, 22)
+
+
 def test_year_month_day_and_dedupe(spark):
     df = spark.createDataFrame([(datetime(2023, 4, 5, 6, 7),)] * 2, "event_ts timestamp")
     (row,) = cleaning.with_day(cleaning.with_year_month(cleaning.dedupe(df))).collect()
