@@ -46,7 +46,11 @@ def model_tiers(loans: DataFrame) -> DataFrame:
 def history_span(spans: DataFrame) -> tuple[date, date]:
     """First and last day of the history, on which loans, payments and recharges must agree and within which
     the model loans must lie."""
-    found = {row.dataset: (row.min_ts.date(), row.max_ts.date()) for row in spans.collect()}
+    rows = spans.collect()
+    empty = [row.dataset for row in rows if row.min_ts is None]
+    if empty:
+        raise ValueError(f"no dates in {empty}")
+    found = {row.dataset: (row.min_ts.date(), row.max_ts.date()) for row in rows}
     first, *others = (found[name] for name in HISTORY)
     if any(other != first for other in others):
         raise ValueError(f"loans, payments and recharges must start and end on the same days: {found}")

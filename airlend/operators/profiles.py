@@ -185,7 +185,7 @@ def cohort_extract(
     cohort = ending(days(loans, "loan_ts", loan_period)).select("msisdn").distinct()
     tables = ((loans, "loan_ts"), (payments, "pay_ts"), (recharges, "recharge_ts"))
     return tuple(
-        filter_by_subscribers(ending(days(df, ts, history)), cohort, "left_semi", spread_by=ts) for df, ts in tables
+        filter_by_subscribers(ending(days(df, ts, history)), cohort, "left_semi") for df, ts in tables
     )
 
 

@@ -88,7 +88,7 @@ def rolling(
     def part(how: str) -> DataFrame:
         if n_heavy <= BROADCAST_SUBSCRIBERS:
             return rows.join(F.broadcast(heavy), "msisdn", how)
-        return filter_by_subscribers(rows, heavy, how, spread_by="epoch")
+        return filter_by_subscribers(rows, heavy, how)
 
     light = frames.in_one_window(part("left_anti"))
     return light.unionByName(frames.split_by_day(part("left_semi")))

@@ -58,6 +58,8 @@ def test_spans_must_agree(spark):
         dataset.history_span(spans(recharges(spark, [("a", at(1), 1)])))
     with pytest.raises(ValueError):
         dataset.history_span(spans(spent, loans(spark, [("a", 1, at(10), 1)])))
+    with pytest.raises(ValueError):
+        dataset.history_span(spans(recharges(spark, [])))
 
 
 def features(spark, rows):
@@ -186,8 +188,12 @@ def test_prepare_sources(spark):
         ["_c0", "MSISDN", "ADVANCE_ID", "LOAN_DATE", "LOAN_AMOUNT"],
     )
     advances = advances.unionByName(advances)
-    paid = spark.createDataFrame([("123456789", "1", "2022-04-02", "5")], ["MSISDN", "ADVANCE_ID", "IN_DATE", "PAYMENT_AMOUNT"])
-    spent = spark.createDataFrame([("123456789", "2022-04-02", "5", "x")], ["MSISDN", "DP_DATE", "RECHARGE_AMOUNT", "DP_ENTITY_TYPE"])
+    paid = spark.createDataFrame(
+        [("123456789", "1", "2022-04-02", "5")], ["MSISDN", "ADVANCE_ID", "IN_DATE", "PAYMENT_AMOUNT"]
+    )
+    spent = spark.createDataFrame(
+        [("123456789", "2022-04-02", "5", "x")], ["MSISDN", "DP_DATE", "RECHARGE_AMOUNT", "DP_ENTITY_TYPE"]
+    )
     taken, paid, spent = prepare_sources(advances, paid, spent)
     assert sorted((r.msisdn, r.loan_id) for r in taken.collect()) == [("0123456789", 1), ("0123456789", 2)]
     assert paid.first().pay_amount == 5 and spent.first().recharge_ts == at(1)
