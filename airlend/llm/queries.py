@@ -6,13 +6,14 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlend.llm import packing, token_files
+from airlend.llm import bpe, language_id, packing, token_files
 from airlend.llm.common import shared_folder, ship
 
 LIBRARY_FILE = "byte_bpe_50k.json"
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,13 +28,36 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """A quarter of the documents, from which language identification does not learn."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language_id.train(docs.where(~held_out()).select("text", "lang"))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANK_FILE)
+    encoded = bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(_documents(spark, sf_dir), public_tokenizers.path(LIBRARY_FILE), end_id=2)
     return packing.best_fit(pieces)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_files, op10_best_fit_packing]
+    found = [op2_token_files, op4_language_id, op7_byte_bpe, op10_best_fit_packing]
     return {query.__name__: query for query in found}
 
 
