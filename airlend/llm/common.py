@@ -37,23 +37,30 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """The documents as one struct column `row`, so that no column of theirs can clash with an own one."""
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-
-
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null: empty) and th, a hash of the text. (doc_id, th) is the key of a document.
+    """doc_id, text (null: empty), dk and th: the key of a document, its id (null: the least long) and a hash of its text.
 
     Rows that repeat both doc_id and text are one document and share one result.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.select(docs["doc_id"].alias("doc_id"), text.alias("text")).withColumn("th", F.xxhash64("text"))
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63)))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"), key.alias("dk"))
+    return rows.withColumn("th", F.xxhash64("text"))
+
+
+def with_keys(docs: DataFrame) -> DataFrame:
+    """dk, th and all columns of the documents as one struct `row`, so that none can clash with an own one."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    key = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(2**63))).alias("dk")
+    th = F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("th")
+    return rows.select(key, th, "row")
 
 
-def same_key(left: DataFrame, right: DataFrame) -> Column:
-    """Equal keys; a null doc_id equals a null doc_id."""
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["th"] == right["th"])
+def unpacked(rows: DataFrame, **columns: Column) -> DataFrame:
+    """The columns of `row`, some replaced or added."""
+    names = [f.name for f in rows.schema["row"].dataType.fields]
+    old = [columns[n].alias(n) if n in columns else F.col("row")[n].alias(n) for n in names]
+    return rows.select(*old, *[c.alias(n) for n, c in columns.items() if n not in names])
 
 
 def dense_order(df: DataFrame, *by: str) -> DataFrame:

@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlend.llm.common import stage
@@ -88,10 +88,11 @@ def count_words(docs: DataFrame) -> DataFrame:
 def count_grams(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     """lang, gram, n: the n-grams of all counted words, as often as the words."""
     marked = F.concat(F.lit("^"), "word", F.lit("$"))
-    grams = [
-        F.transform(F.sequence(F.lit(1), F.length("marked") - (n - 1)), lambda i, n=n: F.substring("marked", i, n))
-        for n in range(1, longest + 1)
-    ]
+
+    def of_size(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length("marked") - (n - 1)), lambda i: F.substring("marked", i, n))
+
+    grams = [of_size(n) for n in range(1, longest + 1)]
     # Every marked word has three characters at least, so only the longest n-grams may be missing.
     grams = [g if n <= 3 else F.when(F.length("marked") >= n, g) for n, g in enumerate(grams, 1)]
     lists = F.flatten(F.filter(F.array(*grams), lambda g: g.isNotNull()))

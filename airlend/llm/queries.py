@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlend.llm import bpe, language_id, packing, token_files
+from airlend.llm import bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, token_files
 from airlend.llm.common import shared_folder, ship
 
 LIBRARY_FILE = "byte_bpe_50k.json"
@@ -21,6 +21,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicate_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(_documents(spark, sf_dir), path, public_tokenizers.path(LIBRARY_FILE), end_id=0)
@@ -40,6 +45,24 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = secret_scan.find(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
+    kinds = F.transform("base", lambda span: span["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.PATTERNS
+    ]
+    digest = F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.written(F.col("spans")).alias("spans"))
+
+
+def op6_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.edited_fingerprints(_documents(spark, sf_dir))
+    columns = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *columns)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANK_FILE)
     encoded = bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -51,13 +74,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(_documents(spark, sf_dir), words=3, per_hundred=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(_documents(spark, sf_dir), public_tokenizers.path(LIBRARY_FILE), end_id=2)
     return packing.best_fit(pieces)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_files, op4_language_id, op7_byte_bpe, op10_best_fit_packing]
+    found = [op1_line_dedup, op2_token_files, op4_language_id, op5_secret_scan, op6_merkle_fingerprints, op7_byte_bpe, op9_near_duplicates, op10_best_fit_packing]
     return {query.__name__: query for query in found}
 
 
