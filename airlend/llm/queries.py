@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlend.llm import bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, token_files
+from airlend.llm import ann, bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, token_files
 from airlend.llm.common import shared_folder, ship
 
 LIBRARY_FILE = "byte_bpe_50k.json"
@@ -74,6 +74,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    vectors = ann.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return ann.Index(vectors).search(vectors.where(F.col("id") % 50 == 0), k=5)
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(_documents(spark, sf_dir), words=3, per_hundred=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -85,7 +91,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_token_files, op4_language_id, op5_secret_scan, op6_merkle_fingerprints, op7_byte_bpe, op9_near_duplicates, op10_best_fit_packing]
+    found = [op1_line_dedup, op2_token_files, op4_language_id, op5_secret_scan, op6_merkle_fingerprints, op7_byte_bpe, op8_ann, op9_near_duplicates, op10_best_fit_packing]
     return {query.__name__: query for query in found}
 
 
