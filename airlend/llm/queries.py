@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlend.llm import ann, bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, token_files
+from airlend.llm import ann, bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, suffix_dedup, token_files
 from airlend.llm.common import shared_folder, ship
+from airlend.llm.sql import SQL
 
 LIBRARY_FILE = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -33,6 +35,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """A quarter of the documents, from which language identification does not learn."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
@@ -91,9 +98,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_token_files, op4_language_id, op5_secret_scan, op6_merkle_fingerprints, op7_byte_bpe, op8_ann, op9_near_duplicates, op10_best_fit_packing]
-    return {query.__name__: query for query in found}
+    found = [
+        op1_line_dedup,
+        op2_token_files,
+        op3_suffix_dedup,
+        op4_language_id,
+        op5_secret_scan,
+        op6_merkle_fingerprints,
+        op7_byte_bpe,
+        op8_ann,
+        op9_near_duplicates,
+        op10_best_fit_packing,
+    ]
+    return {**{query.__name__: query for query in found}, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
