@@ -8,6 +8,7 @@ those of the whole text. Parts repeat, so each worker keeps the ids of the ones
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -87,7 +88,13 @@ class PartEncoder:
         while at < len(texts):
             done = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
-            yield self._encode_slice(texts[at:to])
+            # Nothing made here refers to itself, and so many small objects make the collector slow.
+            gc.disable()
+            try:
+                found = self._encode_slice(texts[at:to])
+            finally:
+                gc.enable()
+            yield found
             at = to
 
     def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
