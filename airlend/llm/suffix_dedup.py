@@ -8,7 +8,7 @@ the strings of its starts cover (its context).
 1. All texts give the hashes of their anchors. Anchors whose hash occurs at one place only are dropped; of texts
    that are equal as a whole, one stands for all.
 2. The contexts of the others are range-partitioned by the bytes that lead their suffix, with sampled splitters,
-   then by text and place, so that one very common passage fills as many partitions as it needs.
+   then by context, text and place, so that one very common passage fills as many partitions as it needs.
 3. In its bucket every context that equals another is settled at once, and only one of them is sorted. The starts
    of all others are sorted by multikey quicksort, eight bytes a level, keeping what is still tied.
 4. Buckets compare across boundaries: groups of equal leading bytes that begin or end a bucket may continue in
@@ -132,9 +132,9 @@ def _context_rows(length: int):
     return rows
 
 
-def multikey_ties(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
-    """Sorts the strings of `length` bytes at places `at` within groups, eight bytes a level; the places of those
-    that equal another one of their group."""
+def multikey_ties(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the strings of `length` bytes at places `at` within groups, eight bytes a level. Which of them equal
+    another one of their group, in order, and where in that order each set of equal ones begins."""
     words = np.ndarray(max(len(data) - 7, 0), ">u8", data, strides=(1,))
     steps = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
     index = np.arange(len(at))
@@ -149,7 +149,7 @@ def multikey_ties(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
         group = np.cumsum(change) - 1
         tied = np.bincount(group)[group] > 1
         index, group = index[tied], group[tied]
-    return index
+    return index, np.unique(group, return_index=True)[1] if len(index) else index
 
 
 def _bucket(length: int):
@@ -185,7 +185,7 @@ def _bucket(length: int):
         shift = np.arange(len(of)) - np.repeat(np.cumsum(starts) - starts, starts)
         at = base[of] + shift
         back = (p[one] - first[one])[of] - shift
-        tied = multikey_ties(data, at, lead[one][of] * 4096 + back, length)
+        tied, firsts_of_ties = multikey_ties(data, at, lead[one][of] * 4096 + back, length)
         hit = np.zeros(len(at), bool)
         hit[tied] = True
         # Runs of tied starts of one context.
@@ -195,12 +195,16 @@ def _bucket(length: int):
         finish = np.append(begin[1:], len(at)) - 1
         begin, finish = begin[hit[begin]], finish[hit[begin]]
         yield from written(th[one][of[begin]], (first[one][of] + shift)[begin], (first[one][of] + shift)[finish] + length)
-        out = np.flatnonzero(edge[one][of])
+        # Of equal strings found here one is enough for other buckets to see; it needs no answer itself.
+        shown = np.ones(len(at), bool)
+        shown[tied] = False
+        shown[tied[firsts_of_ties]] = True
+        out = np.flatnonzero(edge[one][of] & shown)
         view = memoryview(data)
         for part in np.array_split(out, max(1, len(out) // 100_000)):
             digests = [xxhash.xxh3_128_digest(view[a : a + length]) for a in at[part].tolist()]
             lo = (first[one][of] + shift)[part]
-            yield from written(th[one][of[part]], lo, lo + length, digests)
+            yield from written(th[one][of[part]], lo, np.where(hit[part], lo, lo + length), digests)
 
     def edges(table: pa.Table) -> np.ndarray:
         """Rows whose group of equal leading bytes is the bucket's least or greatest."""
@@ -259,11 +263,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     contexts = packed.join(wanted, ["dk", "th"]).select("th", "text", "places")
     contexts = stage(contexts.mapInArrow(_context_rows(length), _CONTEXTS), "contexts")
 
-    buckets = contexts.repartitionByRange(partitions(spark), "lead", "th", "p")
+    # In suffix order, then by context: what is equal lies in one bucket but at its edges.
+    suffix = F.expr("substring(context, p - first + 1)")
+    buckets = contexts.repartitionByRange(partitions(spark), suffix, F.xxhash64("context"), "th", "p")
     found = stage(buckets.mapInArrow(_bucket(length), _COVERED), "covered")
     across = found.where(F.col("digest").isNotNull())
     both = across.groupBy("digest").agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where("lo < hi")
-    across = across.join(both.select("digest"), "digest", "left_semi")
+    across = across.where("lo < hi").join(both.select("digest"), "digest", "left_semi")
     runs = found.where(F.col("digest").isNull()).unionByName(across).select("th", "lo", "hi").distinct()
     runs = runs.groupBy("th").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
