@@ -11,9 +11,11 @@ space); with fewer words the whole sequence is its one shingle. Documents are li
 4. A candidate pair's minima are compared in batches of 24. After each batch the posterior probability (uniform
    prior) that the similarity reaches the threshold is bounded by the number of equal minima; below `miss` the
    pair is dropped. Survivors are confirmed on their full sets, and components formed.
-5. Nodes that share a bucket and are in different components are candidates too, and are verified in the same way;
-   pairs within a component need no test. So no pair that shares a bucket remains open, yet a large group costs
-   one pair for each member and hub, not all its pairs.
+5. In buckets that still hold several components, the nodes outside the commonest one are tried with PARTNERS
+   nodes of it, other ones in each of STRAY_ROUNDS rounds; this only joins early what belongs together.
+6. All nodes that then share a bucket and are in different components are candidates too. They are compared
+   block by block and confirmed in the same task, so that only links become rows; pairs within a component need no test. So no pair that shares a bucket remains open, yet a
+   large group costs a few pairs for each member, not all its pairs.
 
 Shingles are compared by 64-bit hashes, and a node is named by 64 bits of a hash of its set.
 
@@ -41,8 +43,11 @@ WORDS = 5
 PER_HUNDRED = 80
 BANDS, ROWS, BATCH = 24, 5, 24
 HASHES = BANDS * ROWS
+STRAY_ROUNDS, PARTNERS = 2, 3
+#: Nodes of a bucket that are compared in one task.
+BLOCK = 256
 #: Probability at which a pair that reaches the threshold may be dropped by one comparison of batches.
-MISS = 1e-6
+MISS = 1e-4
 #: Bytes of text handled at once.
 SLICE_BYTES = 4_000_000
 
@@ -59,7 +64,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    # Taken anew: list_value_length and flatten can disagree on what is split from an array with an offset.
+    texts = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     sizes = pc.list_value_length(parts).to_numpy().astype("i8")
     of = np.repeat(np.arange(len(texts)), sizes)
     flat = parts.flatten()
@@ -142,7 +149,9 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(ROWS):
             found = _mixed(found + minima[:, :, k].astype(np.uint64))
         nodes = np.repeat(batch["node"].to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(found.view("i8").ravel()), pa.array(nodes)], names=["bucket", "node"])
+        bands = np.tile(np.arange(BANDS, dtype="i4"), len(minima))
+        columns = [pa.array(found.view("i8").ravel()), pa.array(bands), pa.array(nodes)]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "node"])
 
 
 def least_equal(per_hundred: int, miss: float = MISS) -> list[int]:
@@ -163,32 +172,65 @@ def least_equal(per_hundred: int, miss: float = MISS) -> list[int]:
     return least
 
 
+def _alive(left: np.ndarray, right: np.ndarray, least: list[int]) -> np.ndarray:
+    """Rows of signatures that are not pruned when they are compared batch by batch."""
+    alive, equal = np.arange(len(left)), np.zeros(len(left), int)
+    for k, needed in enumerate(least):
+        # A batch takes a minimum of each band, so that none is one band.
+        at = np.arange(k, HASHES, HASHES // BATCH)
+        equal[alive] += (left[alive][:, at] == right[alive][:, at]).sum(axis=1)
+        alive = alive[equal[alive] >= needed]
+    return alive
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, HASHES)
+
+
 def _not_pruned(least: list[int]):
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, HASHES) for c in ("sig_a", "sig_b")
-            )
-            alive, equal = np.arange(len(batch)), np.zeros(len(batch), int)
-            for k, needed in enumerate(least):
-                # Every BATCH-th batch takes a minimum of each band, so that no batch is one band.
-                at = np.arange(k, HASHES, HASHES // BATCH)
-                equal[alive] += (left[alive][:, at] == right[alive][:, at]).sum(axis=1)
-                alive = alive[equal[alive] >= needed]
+            alive = _alive(_signatures(batch["sig_a"]), _signatures(batch["sig_b"]), least)
             yield batch.select(["a", "b"]).take(pa.array(alive))
 
     return survivors
 
 
+def _similar(left: np.ndarray, right: np.ndarray, per_hundred: int) -> bool:
+    """Of two sorted sets."""
+    common = int((left[np.minimum(np.searchsorted(left, right), len(left) - 1)] == right).sum())
+    return 100 * common >= per_hundred * (len(left) + len(right) - common)
+
+
+def _across(least: list[int], per_hundred: int):
+    def links(table: pa.Table) -> pa.Table:
+        """Links of two blocks of a bucket (or within one) whose labels differ, each in the first bucket it shares."""
+        table = table.combine_chunks()
+        block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
+        sigs, sets = _signatures(table["sig"]), [np.frombuffer(x.as_buffer(), "<u8") for x in table["shingles"]]
+        one = np.flatnonzero(block == table["i"][0].as_py())
+        other = np.flatnonzero(block == table["j"][0].as_py())
+        pairs = [np.empty((0, 2), "i8")]
+        for k in one.tolist():
+            rest = other[(label[other] != label[k]) & ((node[other] > node[k]) | (block[other] != block[k]))]
+            rest = rest[_alive(np.broadcast_to(sigs[k], (len(rest), HASHES)), sigs[rest], least)]
+            equal = (sigs[rest] == sigs[k]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            rest = rest[equal == table["band"][0].as_py()]
+            rest = rest[[_similar(sets[k], sets[x], per_hundred) for x in rest.tolist()]] if len(rest) else rest
+            pairs.append(np.stack([np.minimum(node[k], node[rest]), np.maximum(node[k], node[rest])], axis=1))
+        found = np.concatenate(pairs)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return links
+
+
 def _confirmed(per_hundred: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for k, (a, b) in enumerate(zip(batch["set_a"], batch["set_b"])):
                 left, right = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
-                at = np.searchsorted(left, right)
-                common = int((left[np.minimum(at, len(left) - 1)] == right).sum())
-                if 100 * common >= per_hundred * (len(left) + len(right) - common):
+                if _similar(left, right, per_hundred):
                     kept.append(k)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
@@ -206,38 +248,60 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, per_hundred: int = PER_
     )
     classes = stage(classes, "classes")
 
-    buckets = classes.select("node", "sig").mapInArrow(_buckets, "bucket long, node long")
+    buckets = classes.select("node", "sig").mapInArrow(_buckets, "bucket long, band int, node long")
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
     crowded = stage(buckets.join(hubs.drop("n"), "bucket"), "crowded")
+    # The sets of all nodes that share a bucket, made once.
+    wanted = classes.join(crowded.select("node").distinct(), "node", "left_semi").select("one.dk", "one.th")
+    texts = source.join(wanted, ["dk", "th"], "left_semi").dropDuplicates(["dk", "th"])
+    sets = texts.select(*of_doc, "text").mapInArrow(_sketches(words, True), _SKETCH).select("node", "shingles")
+    sets = stage(sets, "sets")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links."""
-        sigs = classes.select("node", "sig")
+    sigs, least = classes.select("node", "sig"), least_equal(per_hundred)
+
+    def surviving(pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-        pairs = pairs.mapInArrow(_not_pruned(least_equal(per_hundred)), "a long, b long")
+        return pairs.mapInArrow(_not_pruned(least), "a long, b long")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of the surviving pairs (a, b) those that are links."""
         pairs = stage(pairs, "survivors")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = classes.select("node", "one.dk", "one.th").join(nodes, "node", "left_semi").select("dk", "th")
-        texts = source.join(wanted, ["dk", "th"], "left_semi").dropDuplicates(["dk", "th"])
-        sets = texts.select(*of_doc, "text").mapInArrow(_sketches(words, True), _SKETCH)
-        sets = stage(sets.select("node", "shingles"), "sets")
         pairs = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
         return stage(pairs.mapInArrow(_confirmed(per_hundred), "a long, b long"), "links")
 
-    first = linked(crowded.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    labels = components(first)
-    placed = crowded.drop("hub").join(labels, "node", "left")
-    placed = stage(placed.withColumn("label", F.coalesce("label", "node")), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = placed.join(mixed.where("lo < hi").select("bucket"), "bucket")
-    left, right = mixed.toDF("bucket", "a", "label_a"), mixed.toDF("bucket", "b", "label_b")
-    across = left.join(right, "bucket").where("label_a < label_b").select("a", "b").distinct()
-    second = linked(across)
-    labels = components(first.unionByName(second))
+    def mixed(links: DataFrame) -> DataFrame:
+        """bucket, node, label, main (the commonest label) of the buckets that hold several components."""
+        placed = crowded.drop("hub").join(components(links), "node", "left")
+        placed = stage(placed.withColumn("label", F.coalesce("label", "node")), "placed")
+        shared = placed.groupBy("bucket").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.mode("label", deterministic=True).alias("main")
+        )
+        return stage(placed.join(shared.where("lo < hi").select("bucket", "main"), "bucket"), "mixed")
+
+    stars = crowded.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = linked(surviving(stars))
+    for turn in range(STRAY_ROUNDS):
+        open_buckets = mixed(links)
+        if open_buckets.isEmpty():
+            break
+        chosen = [F.min_by("node", F.xxhash64("node", F.lit(turn), F.lit(k))) for k in range(PARTNERS)]
+        partners = open_buckets.where("label = main").groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("a"))
+        strays = open_buckets.where("label != main").join(partners, "bucket")
+        tried = strays.select(F.explode("a").alias("a"), F.col("node").alias("b")).distinct()
+        links = stage(links.unionByName(linked(surviving(tried))), "links")
+    open_buckets = mixed(links)
+    sizes = open_buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = open_buckets.join(sizes, "bucket").join(sigs, "node").join(sets, "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")})
+    rows = rows.select("bucket", "band", "i", "j", "block", "node", "label", "sig", "shingles")
+    across = rows.groupBy("bucket", "i", "j").applyInArrow(_across(least, per_hundred), "a long, b long")
+    labels = components(links.unionByName(stage(across, "links")))
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "label").select("key", "component_id")
+    by_label = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = named.join(by_label, "label").select("key", "component_id")
     found = sketches.drop("sig", "node").join(named, "key", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))

@@ -91,7 +91,8 @@ class PartEncoder:
             # Nothing made here refers to itself, and so many small objects make the collector slow.
             gc.disable()
             try:
-                found = self._encode_slice(texts[at:to])
+                # Taken anew, because what is split from an array with an offset may come out wrong.
+                found = self._encode_slice(texts.take(pa.array(np.arange(at, to))))
             finally:
                 gc.enable()
             yield found
