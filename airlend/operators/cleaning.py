@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,26 +20,35 @@ def to_template(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.drop(INDEX_COLUMN).withColumnsRenamed(present)
 
 
-def _typed(name: str, dtype: T.DataType, source: T.DataType) -> Column:
+#: Wide enough for any whole number of 64 bits, with room to see a fraction.
+EXACT = "decimal(38,10)"
+
+
+def _typed(name: str, dtype: T.DataType, source: T.DataType, truncate: bool = False) -> Column:
     """Text trimmed and cast; what does not parse is NULL. A column that has its type already is passed
-    through, so a filter on it still reaches the scan."""
+    through, so a filter on it still reaches the scan. A whole number may be written with a decimal point;
+    one with a fraction is NULL, or cut to its whole part with `truncate`."""
     if source == dtype and not isinstance(dtype, T.StringType):
         return F.col(name)
     if not isinstance(source, T.StringType):
         return F.col(name).try_cast(dtype).alias(name)
     text = F.trim(F.col(name))
     if isinstance(dtype, T.IntegralType):
-        # A whole number may be written with a decimal point.
-        return F.coalesce(text.try_cast(dtype), text.try_cast("double").try_cast(dtype)).alias(name)
+        exact = text.try_cast(EXACT)
+        whole = exact if truncate else F.when(exact == F.floor(exact), exact)
+        return F.coalesce(text.try_cast(dtype), whole.try_cast(dtype)).alias(name)
     return text.try_cast(dtype).alias(name)
 
 
-def type_template(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Trim and cast the schema's columns in one projection; other columns are dropped, missing ones are NULL."""
+def type_template(df: DataFrame, schema: T.StructType, truncated: Collection[str] = ()) -> DataFrame:
+    """Trim and cast the schema's columns in one projection; other columns are dropped, missing ones are NULL.
+
+    Whole numbers named in `truncated` lose their fraction; in others a fraction makes them NULL.
+    """
     have = {field.name: field.dataType for field in df.schema}
     return df.select(
         *(
-            _typed(field.name, field.dataType, have[field.name])
+            _typed(field.name, field.dataType, have[field.name], field.name in truncated)
             if field.name in have
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in schema
@@ -58,7 +67,7 @@ def type_ledger(df: DataFrame) -> DataFrame:
 
 def type_finance(df: DataFrame) -> DataFrame:
     """Finance advances: source names to canonical ones, with types; the chosen amount is the whole amount."""
-    return type_template(to_template(df, FINANCE_COLUMNS), FINANCE_ADVANCES)
+    return type_template(to_template(df, FINANCE_COLUMNS), FINANCE_ADVANCES, truncated=("chosen_amount",))
 
 
 def split_raw_record(

@@ -24,8 +24,8 @@ class FeatureConfig:
     windows        look-back and look-ahead windows in days, also the days of the targets
     target_days    days after a loan that the history must cover
     min_rows       model loans that a largest window must leave
-    restrict       keep the windows and the model loans that the history can support (if no window leaves
-                   enough loans, the smallest and what it leaves)
+    restrict       keep the windows that the history can support; an error if none leaves enough loans
+    restrict_rows  with `restrict`, also leave out the model loans that the largest window kept can't support
     tiers          tiers of the model loans, None for all
     burst_unit     loans within this unit of time are one loan
     known_by_loan_date, require_full_repayment   see `pay_day_features` and `repayment_targets`
@@ -38,6 +38,7 @@ class FeatureConfig:
     target_days: int = S.TARGET_DAYS
     min_rows: int = S.MIN_MODEL_LOANS
     restrict: bool = True
+    restrict_rows: bool = False
     tiers: Sequence[int] | None = None
     burst_unit: str = "minute"
     known_by_loan_date: bool = False
@@ -52,8 +53,9 @@ def prepare_sources(
     rows."""
 
     def prepare(df: DataFrame, mapping: dict[str, str], schema) -> DataFrame:
-        typed = cleaning.type_template(cleaning.to_template(cleaning.dedupe(df), mapping), schema)
-        return cleaning.normalise_msisdn(typed)
+        typed = cleaning.type_template(cleaning.to_template(df, mapping), schema)
+        # Rows are compared as they are used: without the index column, trimmed and typed.
+        return cleaning.normalise_msisdn(cleaning.dedupe(typed))
 
     return (
         prepare(advances, S.LOAN_COLUMNS, S.LOANS),
@@ -99,8 +101,11 @@ def build_feature_table(
     if cfg.restrict:
         chosen = _chosen_window(repaid, model, payments, recharges, cfg)
         windows = [n for n in windows if n <= chosen.max_window]
-        lo, hi = max(lo, chosen.start_date.isoformat()), min(hi, chosen.end_date.isoformat())
-        model = in_period(model, "loan_ts", lo, hi)
+        if not chosen.ok:
+            raise ValueError(f"no window leaves {cfg.min_rows} model loans with enough history: {chosen}")
+        if cfg.restrict_rows:
+            lo, hi = max(lo, chosen.start_date.isoformat()), min(hi, chosen.end_date.isoformat())
+            model = in_period(model, "loan_ts", lo, hi)
 
     # Only what lies within the longest window of a model loan can matter to it.
     reach = timedelta(days=windows[-1])

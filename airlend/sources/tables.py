@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -50,13 +49,10 @@ def write_features(df: DataFrame, path: str, partition_by: str = "loan_month", t
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session that names none gets a temporary one."""
+    """The session's checkpoint folder, which all executors share; an error if none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="airlend-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir, or setCheckpointDir, to a folder that all executors share")
     return folder
 
 

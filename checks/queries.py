@@ -24,6 +24,7 @@ PAY_DAY_WINDOWS = (365, 730, 1095)
 M0 = "1997-01-01"
 MODEL_PERIOD = ("1995-06-01", "2001-06-30")
 HISTORY = ("1995-01-01", "2001-08-01")
+LOCAL_FOLDER = "/tmp/checkpoints/airlend"
 TARGET_DAYS = 90
 MIN_ROWS = 100
 EVENT_MODEL_PERIOD = ("2024-01-08", "2024-01-24")
@@ -65,7 +66,7 @@ def q_prepared_ledger(spark, d):
 
 def q_type_template(spark, d):
     raw = roles.raw_advances(spark, d)
-    return cleaning.type_template(cleaning.to_template(cleaning.dedupe(raw), S.LOAN_COLUMNS), S.LOANS)
+    return cleaning.dedupe(cleaning.type_template(cleaning.to_template(raw, S.LOAN_COLUMNS), S.LOANS))
 
 
 def q_csv_roundtrip(spark, d):
@@ -206,6 +207,7 @@ def q_build_feature_table(spark, d):
         windows=ORDER_WINDOWS,
         target_days=TARGET_DAYS,
         min_rows=MIN_ROWS,
+        restrict_rows=True,
     )
     features = build_feature_table(
         roles.loans(spark, d), roles.payments(spark, d), roles.recharges(spark, d), cfg
@@ -312,8 +314,20 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def name_local_folder(spark) -> None:
+    """Name a checkpoint folder in a session on one machine that has none."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.master.startswith("local["):
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(LOCAL_FOLDER)
+
+
 def queries() -> dict[str, Query]:
     def with_plain_types(query: Query) -> Query:
-        return lambda spark, sf_dir: plain(query(spark, sf_dir))
+        def run(spark, sf_dir):
+            name_local_folder(spark)
+            return plain(query(spark, sf_dir))
+
+        return run
 
     return {name: with_plain_types(query) for name, query in QUERIES.items()}

@@ -135,7 +135,7 @@ def raw_advances(spark: SparkSession, sf_dir: str) -> DataFrame:
     no number."""
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
     once = table(spark, sf_dir, "orders").select(
-        F.lit("1").alias("_c0"),
+        (2 * key).cast("string").alias("_c0"),
         F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")).alias("MSISDN"),
         F.concat(F.lit("  "), key.cast("string")).alias("ADVANCE_ID"),
         F.lit("3 ").alias("CHANNEL_ID"),
@@ -145,7 +145,8 @@ def raw_advances(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).alias("PROFILE_TIER_ID"),
         F.when(key % 10 == 0, "-").otherwise("1.10").alias("SERVICE_FEE"),
     )
-    return once.unionByName(once)
+    again = once.withColumns({"_c0": F.concat("_c0", F.lit("1")), "MSISDN": F.trim("MSISDN")})
+    return once.unionByName(again)
 
 
 def event_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,9 @@ def test_year_month_day_and_dedupe(spark):
     df = spark.createDataFrame([(datetime(2023, 4, 5, 6, 7),)] * 2, "event_ts timestamp")
     (row,) = cleaning.with_day(cleaning.with_year_month(cleaning.dedupe(df))).collect()
     assert (row.year, row.month, row.day) == ("2023", "04", datetime(2023, 4, 5))
+
+
+def test_ids_are_exact(spark):
+    raw = spark.createDataFrame([("9007199254740993.0",), ("12.7",), (" 7 ",), ("x",)], "ADVANCE_ID string")
+    typed = cleaning.type_template(cleaning.to_template(raw, S.LOAN_COLUMNS), S.LOANS)
+    assert [row.loan_id for row in typed.collect()] == [9007199254740993, None, 7, None]

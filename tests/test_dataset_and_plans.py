@@ -135,7 +135,8 @@ def lending(spark, seed=2):
 
 def config(**changes):
     settings = dict(
-        model_period=("2022-04-11", "2022-06-25"), history=HISTORY, windows=(3, 10, 60), target_days=5, min_rows=60
+        model_period=("2022-04-11", "2022-06-25"), history=HISTORY, windows=(3, 10, 60), target_days=5, min_rows=60,
+        restrict_rows=True,
     )
     return FeatureConfig(**settings | changes)
 
@@ -228,3 +229,20 @@ def test_cohort_extract(spark):
     assert paid.count() == 1 and spent.count() == 1
     with pytest.raises(ValueError):
         profiles.cohort_extract(taken, paid, spent, ["6", "08"], HISTORY, HISTORY)
+
+
+def test_copies_with_another_index_or_blanks_are_one_row(spark):
+    schema = "_c0 string, MSISDN string, ADVANCE_ID string, LOAN_DATE string, LOAN_AMOUNT string"
+    rows = [("0", "123456789", "1", "2022-04-01 00:00:00", "5"), ("1", " 123456789", "1.0", "2022-04-01 00:00:00", "5")]
+    advances = spark.createDataFrame(rows, schema)
+    payment = spark.createDataFrame([], "MSISDN string, ADVANCE_ID string, IN_DATE string, PAYMENT_AMOUNT string")
+    recharge = spark.createDataFrame([], "MSISDN string, DP_DATE string, RECHARGE_AMOUNT string, DP_ENTITY_TYPE string")
+    assert prepare_sources(advances, payment, recharge)[0].count() == 1
+
+
+def test_the_window_choice_cuts_no_rows_unless_asked(spark):
+    tables = lending(spark)
+    whole = build_feature_table(*tables, config(restrict=False, windows=(3, 10)))
+    assert build_feature_table(*tables, config(restrict_rows=False)).count() == whole.count()
+    with pytest.raises(ValueError, match="no window"):
+        build_feature_table(*tables, config(min_rows=10_000))
