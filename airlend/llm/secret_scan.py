@@ -4,7 +4,7 @@ Candidates are runs of at least MIN_LENGTH characters of an alphabet of 66. Two
 of random strings and one of ordinary identifiers, give a candidate's log-likelihood ratio; at THRESHOLD or
 more it is a `markov` span, unless it overlaps a pattern's span or is a number. The models are counts of character pairs in
 labelled samples (token, random), smoothed by one. `labelled_samples` makes such samples: keys written in hex,
-base 64 and upper case as random ones, and the words of up to SAMPLE_DOCS documents, those with the least hash
+base 64 (both alphabets) and upper case as random ones, and the words of up to SAMPLE_DOCS documents, those with the least hash
 of their id, as ordinary ones; only this fit is bounded, every text is scanned as a whole.
 
 Everything is expressed in DataFrame functions; the fitted ratio table (66 x 66) becomes a literal. Positions are
@@ -79,8 +79,9 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     digest = F.sha2(F.col("id").cast("string"), 256)
     keys = spark.range(SAMPLE_KEYS).select(
-        F.when(F.col("id") % 3 == 0, digest)
-        .when(F.col("id") % 3 == 1, F.rtrim(F.translate(F.base64(F.unhex(digest)), "=", " ")))
+        F.when(F.col("id") % 4 == 0, digest)
+        .when(F.col("id") % 4 == 1, F.translate(F.base64(F.unhex(digest)), "=", ""))
+        .when(F.col("id") % 4 == 2, F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))
         .otherwise(F.upper(F.translate(F.base64(F.unhex(digest)), "+/=", "")))
         .alias("token"),
         F.lit(True).alias("random"),
