@@ -106,14 +106,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     doc_id, n_chars, edited (text), fingerprint, edited_fingerprint, near_edited, near_next.
     """
-    texts = keyed(docs)
+    texts = keyed(docs).select("dk", "th", "text")
     keys = stage(texts.select("dk", "th", F.length("text").alias("n")).distinct(), "keys")
     ordered = stage(dense_order(keys, "dk", "th"), "order")
     total = ordered.count()
     after = ordered.select(((F.col("pos") - 1 + total) % max(total, 1)).alias("pos"), "dk", "th")
     after = after.toDF("pos", "next_dk", "next_th")
     pairs = ordered.select("pos", "dk", "th", F.floor(F.col("n") / 4).cast("int").alias("cut")).join(after, "pos")
-    # The exchange of the texts by key serves this join and the last one.
+    # One exchange of the texts by key serves this join and the last one, so both read the same columns.
     nexts = texts.select(F.col("dk").alias("next_dk"), F.col("th").alias("next_th"), "text")
     nexts = pairs.join(nexts, ["next_dk", "next_th"]).select(
         "dk",
@@ -131,7 +131,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"{name}_root", root(F.col(f"{name}_tree")))
         rows = rows.withColumn(f"{name}_pieces", pieces(F.col(f"{name}_tree"))).drop(f"{name}_tree")
     return rows.select(
-        "doc_id",
+        F.when(F.col("dk") != -(2**63), F.col("dk")).alias("doc_id"),
         "n_chars",
         "edited",
         F.concat_ws(":", "own_root", F.array_join("own_pieces", "")).alias("fingerprint"),

@@ -3,7 +3,7 @@
 Candidates are runs of at least MIN_LENGTH characters of an alphabet of 66. Two first-order Markov models, one
 of random strings and one of ordinary identifiers, give a candidate's log-likelihood ratio; at THRESHOLD or
 more it is a `markov` span, unless it overlaps a pattern's span or is a number. The models are counts of character pairs in
-labelled samples (token, random), smoothed by one. `labelled_samples` makes such samples: keys written in hex,
+labelled samples (token, random), backed off to single characters where little was seen. `labelled_samples` makes such samples: keys written in hex,
 base 64 (both alphabets) and upper case as random ones, and the words of up to SAMPLE_DOCS documents, those with the least hash
 of their id, as ordinary ones; only this fit is bounded, every text is scanned as a whole.
 
@@ -35,6 +35,8 @@ MIN_LENGTH = 16
 THRESHOLD = 12.0
 SAMPLE_DOCS = 2_000
 SAMPLE_KEYS = 6_000
+#: Pairs after a character that its single-character frequencies weigh as much as.
+BACKOFF = 10.0
 MARK = "[SECRET]"
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -101,13 +103,17 @@ def train(samples: DataFrame) -> list[float]:
     pairs = samples.where(F.length("token") > 1).select("random", F.explode(F.transform(at, lambda i: F.substring("token", i, 2))).alias("pair"))
     # At most 2 x 66 x 66 rows.
     known = pairs.where(F.col("pair").rlike(r"^[A-Za-z0-9+/_-]{2}$")).groupBy("random", "pair").count().collect()
-    counts = {True: [[1.0] * size for _ in range(size)], False: [[1.0] * size for _ in range(size)]}
+    counts = {kind: [[0.0] * size for _ in range(size)] for kind in (True, False)}
     for row in known:
         counts[row["random"]][ALPHABET.index(row["pair"][0])][ALPHABET.index(row["pair"][1])] += row["count"]
-    ratios = []
-    for of_random, of_plain in zip(counts[True], counts[False]):
-        totals = math.log(sum(of_plain) / sum(of_random))
-        ratios += [math.log(r / p) + totals for r, p in zip(of_random, of_plain)]
+
+    def steps(pairs: list[list[float]]) -> list[float]:
+        seen = [1 + sum(row[k] for row in pairs) for k in range(size)]
+        # A tenth is spread evenly, so that one character never seen decides nothing alone.
+        single = [0.9 * n / sum(seen) + 0.1 / size for n in seen]
+        return [(n + BACKOFF * p) / (sum(row) + BACKOFF) for row in pairs for n, p in zip(row, single)]
+
+    ratios = [math.log(r / p) for r, p in zip(steps(counts[True]), steps(counts[False]))]
     return ratios
 
 
