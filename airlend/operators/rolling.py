@@ -20,7 +20,7 @@ rows are split by day instead:
   that they exist at second s of days d-N and d+N too, empty marker rows are added there;
 * whole days are range frames over one row per subscriber and day.
 
-Both ways give the same result.
+Both ways give the same result for exact numbers, and callers pass no others.
 """
 
 from __future__ import annotations
@@ -64,26 +64,29 @@ def rolling(
     partials  partial name -> 'sum', 'min' or 'max'; over no rows a sum is 0, the others are NULL
     ahead     the partials wanted ahead
 
-    Rows without subscriber or time belong to no frame and are left out. The subscribers with more than
-    `heavy_rows` points are found by a count over the subscriber column, which runs at once; None skips it.
+    Rows without subscriber or time belong to no frame. Those with a payload come back with their frames empty:
+    sums 0, the others NULL. The subscribers with more than `heavy_rows` points are found by a count over the
+    subscriber column, which runs at once; None skips it.
     """
     windows = sorted(set(windows))
     if windows[0] < 1:
         raise ValueError("a window has at least one day")
     placed = "msisdn IS NOT NULL AND epoch IS NOT NULL"
-    points = points.filter(placed)
     rows = points
     if results is not None:
-        rows = points.unionByName(results.filter(placed), allowMissingColumns=True)
+        rows = points.unionByName(results, allowMissingColumns=True)
     frames = _Frames(partials, windows, ahead, back)
+    whole = frames.in_one_window(rows.filter(placed))
+    unplaced = frames.empty(rows.filter(f"NOT ({placed})"), whole)
     if heavy_rows is None:
-        return frames.in_one_window(rows)
+        return whole.unionByName(unplaced)
 
+    points, rows = points.filter(placed), rows.filter(placed)
     heavy = points.groupBy("msisdn").agg(F.count("*").alias("n")).filter(F.col("n") > heavy_rows)
+    heavy = stage(heavy.select("msisdn"), "heavy-subscribers")
     n_heavy = heavy.count()
     if n_heavy == 0:
-        return frames.in_one_window(rows)
-    heavy = stage(heavy.select("msisdn"), "heavy-subscribers")
+        return whole.unionByName(unplaced)
 
     def part(how: str) -> DataFrame:
         if n_heavy <= BROADCAST_SUBSCRIBERS:
@@ -91,7 +94,7 @@ def rolling(
         return filter_by_subscribers(rows, heavy, how)
 
     light = frames.in_one_window(part("left_anti"))
-    return light.unionByName(frames.split_by_day(part("left_semi")))
+    return light.unionByName(frames.split_by_day(part("left_semi"))).unionByName(unplaced)
 
 
 class _Frames:
@@ -126,6 +129,18 @@ class _Frames:
             for name in names
         ]
 
+    def empty(self, unplaced: DataFrame, like: DataFrame) -> DataFrame:
+        """The payloads of rows that belong to no frame, with the results over no rows in the types of `like`."""
+        cells = [
+            f"CAST({0 if self.partials[name] == 'sum' else 'NULL'} AS {like.schema[column].dataType.simpleString()})"
+            f" AS {column}"
+            for direction, names in self.wanted.items()
+            for n in self.windows
+            for name in names
+            for column in [f"{name}_{direction}_{n}"]
+        ]
+        return unplaced.filter("payload IS NOT NULL").selectExpr("payload.*", *cells)
+
     def in_one_window(self, rows: DataFrame) -> DataFrame:
         subscriber = "PARTITION BY msisdn ORDER BY epoch RANGE BETWEEN"
         bands = []

@@ -14,6 +14,8 @@ from airlend.operators.rolling import HEAVY_ROWS, rolling
 from airlend.schemas import LOAN_OP, RECHARGE_OP, SERVICE_FEE
 
 KINDS = {"loan": LOAN_OP, "spend": RECHARGE_OP}
+#: Digits after the point that amounts of an inexact type are kept with.
+FRACTION_DIGITS = 6
 
 
 def loan_recharge_timeline(loans: DataFrame, recharges: DataFrame) -> DataFrame:
@@ -44,12 +46,21 @@ AMOUNT_PARTIALS = {
 AHEAD = ("loan_rows", "loan_n", "loan_sum", "spend_rows", "spend_sum")
 
 
+def exact_amounts(df: DataFrame, *names: str) -> DataFrame:
+    """Amounts of type DOUBLE or FLOAT as decimals, rounded to FRACTION_DIGITS digits.
+
+    Sums of doubles depend on the order of addition, so the same rows could give different results. What does
+    not fit (no number, infinite, too large) raises an error.
+    """
+    inexact = [n for n in names if isinstance(df.schema[n].dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({n: F.col(n).cast(T.DecimalType(28, FRACTION_DIGITS)) for n in inexact}) if inexact else df
+
+
 def minor_units(*dtypes: T.DataType) -> tuple[str, str]:
     """From amounts of these types to whole minor units (cents), and back, as SQL with {} for the amount.
 
     Sums of whole numbers are as exact as decimal sums and much cheaper; one that leaves the BIGINT range
-    raises an error. Amounts that are no decimals, have too many digits or different scales are left as they
-    are.
+    raises an error. Amounts that have too many digits or different scales are left as they are.
     """
     dtype = dtypes[0]
     if not all(isinstance(d, T.DecimalType) and d.precision <= 18 and d.scale == dtype.scale for d in dtypes):
@@ -127,6 +138,7 @@ def timeline_features(
 ) -> DataFrame:
     """Look-back and look-ahead features of the time line's loans, or of those among the model loans, in one
     pass over the time line."""
+    timeline = exact_amounts(timeline, "amount")
     units, money = minor_units(timeline.schema["amount"].dataType)
     columns = ["msisdn", "unix_seconds(ts) AS epoch", *amount_cells(units.format("amount"), "op")]
     if model_loans is None:

@@ -94,6 +94,8 @@ def build_feature_table(
         payments = in_period(payments, "pay_ts", lo, hi)
         recharges = in_period(recharges, "recharge_ts", lo, hi)
 
+    loans = tl.exact_amounts(loans, "loan_amount")
+    recharges = tl.exact_amounts(recharges, "recharge_amount")
     repaid = stage(repayment.loan_repayment(loans, payments), "repaid-loans")
     model = collapse_bursts(dataset.model_loans(repaid, *cfg.model_period, cfg.tiers), cfg.burst_unit)
     windows = sorted(cfg.windows)

@@ -14,8 +14,8 @@ def at(days: float = 0, seconds: int = 0) -> datetime:
     return START + timedelta(days=days, seconds=seconds)
 
 
-def utc(ts: datetime) -> datetime:
-    return ts.replace(tzinfo=timezone.utc)
+def utc(ts: datetime | None) -> datetime | None:
+    return ts and ts.replace(tzinfo=timezone.utc)
 
 
 def money(value) -> Decimal | None:

@@ -5,6 +5,7 @@ from datetime import timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from airlend.operators import rolling
 from airlend.operators import timeline as tl
@@ -174,6 +175,27 @@ def test_future_spend_corrected(spark):
     assert found[1].future_spend_sum_corrected_7 == pytest.approx(30 - 10 - 2.2)
 
 
+@WAYS
+@pytest.mark.parametrize("with_model", [False, True])
+def test_loans_without_time_come_back_with_empty_frames(spark, heavy_rows, with_model):
+    rows = [("a", 1, at(0), 5, "L"), ("a", 2, None, 6, "L"), (None, 3, at(1), 7, "L"), ("a", 4, at(1), 8, "L")]
+    line = timeline(spark, rows)
+    model = loans(spark, [("a", 2, None, 6), ("a", 4, at(1), 8)]) if with_model else None
+    found = by(tl.timeline_features(line, model, [7], heavy_rows=heavy_rows).collect(), "loan_id")
+    assert set(found) == ({2, 4} if with_model else {1, 2, 3, 4})
+    assert found[4].count_loan_7 == 1 and found[4].sum_loan_7 == 5
+    assert found[2].count_loan_7 == 0 and found[2].sum_loan_7 is None and found[2].amount == 6
+
+
+def test_inexact_amounts_give_the_same_rows_both_ways(spark):
+    rows = [(m, k, ts, a, op) for k, (m, _, ts, a, op) in enumerate(random_rows(12, n=399, subscribers=1))]
+    line = timeline(spark, rows).withColumn("amount", F.col("amount").cast("double") * 1.1)
+    one, other, both = (
+        sorted(map(str, tl.timeline_features(line, None, [1, 7, 30], heavy_rows=h).collect())) for h in (None, 0, 2000)
+    )
+    assert one == other == both
+
+
 @WAYS
 @pytest.mark.parametrize("kind", ["double", "decimal(30,4)", "decimal(9,3)"])
 def test_other_amount_types(spark, kind, heavy_rows):
