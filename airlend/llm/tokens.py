@@ -29,6 +29,9 @@ SLICE_BYTES = 4_000_000
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
 _OTHER_SPACE_RE2 = r" (?:[^!-~À-ɏ]|\z)"
 _WORD, _MARKS = r"([A-Za-z0-9À-ÖØ-öø-ɏ]+)", r"([!-&(-/:-@\[-^`{-~]*)"
+_SPACED_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Words in one call of the library.
+GROUP_WORDS = 1_000
 _SIMPLE = re.compile(f"{_WORD}{_MARKS}(?:\n{_WORD}{_MARKS})?")
 
 
@@ -117,13 +120,10 @@ class PartEncoder:
         codes[firsts] = len(parts) + np.arange(len(heads))
         parts += heads
         self.parts.learn(set(parts))
-        known = list(map(self.parts.__getitem__, parts))
-        lengths = np.fromiter(map(len, known), "i8", len(known)) // 4
-        places = np.cumsum(lengths) - lengths
-        each = lengths[codes]
-        ends = np.cumsum(each)
-        total = int(ends[-1])
-        values = ids_of(b"".join(known))[np.arange(total) + np.repeat(places[codes] - ends + each, each)]
+        known = pa.array(list(map(self.parts.__getitem__, parts)), pa.large_binary())
+        found = known.take(pa.array(codes))
+        ends = np.cumsum(pc.binary_length(found).to_numpy()) // 4
+        values = ids_of(found.buffers()[2] or b"")[: int(ends[-1])]
         last = np.cumsum(sizes) - 1
         return values, np.concatenate([[0], ends[last]])
 
@@ -134,10 +134,35 @@ def library_encoder(path: str) -> PartEncoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode_many(texts: list[str]) -> list[bytes]:
+    line_break = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def encode_each(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in found]
 
+    def encode_words(words: list[str]) -> list[bytes]:
+        """Words with a space before them, many in a text of lines: the pattern cuts around each line break."""
+        groups = [words[at : at + GROUP_WORDS] for at in range(0, len(words), GROUP_WORDS)]
+        lines = tokenizer.encode_batch_fast(list(map("\n".join, groups)), add_special_tokens=False)
+        out = []
+        for group, one in zip(groups, lines):
+            ids = np.array(one.ids, "<u4")
+            cuts = 4 * np.flatnonzero(ids == line_break[0])
+            if len(cuts) + 1 != len(group):
+                out += encode_each(group)
+                continue
+            data = ids.tobytes()
+            bounds = zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])
+            out += [data[a:b] for a, b in bounds]
+        return out
+
+    def encode_many(texts: list[str]) -> list[bytes]:
+        words = [t for t in texts if _SPACED_WORD.fullmatch(t)] if len(line_break) == 1 else []
+        found = dict(zip(words, encode_words(words)))
+        rest = [t for t in texts if t not in found]
+        found.update(zip(rest, encode_each(rest)))
+        return list(map(found.__getitem__, texts))
+
     return PartEncoder(encode_many)
 
 
