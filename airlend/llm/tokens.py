@@ -11,7 +11,7 @@ from __future__ import annotations
 import gc
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -35,49 +35,45 @@ GROUP_WORDS = 1_000
 _SIMPLE = re.compile(f"{_WORD}{_MARKS}(?:\n{_WORD}{_MARKS})?")
 
 
-class Remembered(dict):
-    """The ids of parts, by `encode` where they are not known. The older half is forgotten at times."""
+class PartEncoder(dict):
+    """`encode` gives the ids of texts. `encode_many` gives those of each string of a list as little-endian
+    unsigned 32-bit integers.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    The dictionary holds the ids of parts. A part is named without the space before it, or, if there is none,
+    with "\0" before it. Words and punctuation are parts as well, from which longer ones are put together.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode_many, self.older = encode_many, {}
+
+    def _recall(self, parts: Iterable[str]) -> list[str]:
+        """Those of the parts that are not remembered; the older half is forgotten at times."""
+        unknown = [part for part in parts if part not in self]
+        older = self.older
+        self.update((part, older[part]) for part in unknown if part in older)
+        return [part for part in unknown if part not in older]
 
     def learn(self, parts: set[str]) -> None:
         if len(self) > KEPT_PARTS:
             self.older = dict(self)
             self.clear()
-        new = []
-        for part in parts.difference(self):
-            if (ids := self.older.get(part)) is not None:
-                self[part] = ids
-            else:
-                new.append(part)
-        if new:
-            self.update(zip(new, self.encode(new)))
-
-
-class PartEncoder:
-    """`encode_many` gives the ids of each string of a list as little-endian unsigned 32-bit integers."""
-
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
-        self.words = Remembered(encode_many)
-        #: Parts between two cuts, without the space before them; a first part, which has none, after "\0".
-        self.parts = Remembered(self._parts)
-
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        pieces = []
-        for part in parts:
-            space, part = ("", part[1:]) if part[:1] == "\0" else (" ", part)
-            found = _SIMPLE.fullmatch(part)
-            if not found:
-                pieces.append((space + part,))
-            elif found[3] is None:
-                pieces.append((space + found[1], found[2]))
-            else:
-                pieces.append((space + found[1], found[2], "\n", found[3], found[4]))
-        self.words.learn(set(chain.from_iterable(pieces)))
-        ids = self.words.__getitem__
-        return [b"".join(map(ids, piece)) for piece in pieces]
+        whole, made = set(), {}
+        for part in self._recall(parts):
+            space = "" if part[:1] != "\0" else "\0"
+            found = _SIMPLE.fullmatch(part, len(space))
+            if not found or not found[2] and found[3] is None:
+                whole.add(part)
+                continue
+            pieces = [space + found[1], "\0" + found[2]]
+            if found[3] is not None:
+                pieces += ["\0\n", "\0" + found[3], "\0" + found[4]]
+            made[part] = pieces = [x for x in pieces if x != "\0"]
+            whole.update(pieces)
+        new = self._recall(whole)
+        self.update(zip(new, self.encode_many([x[1:] if x[:1] == "\0" else " " + x for x in new])))
+        ids = self.__getitem__
+        self.update([(part, b"".join(map(ids, pieces))) for part, pieces in made.items()])
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of all texts (null: empty) as one array and the place of each text in it.
@@ -119,8 +115,8 @@ class PartEncoder:
         heads = ["\0" + part for part in flat.take(pa.array(firsts)).to_pylist()]
         codes[firsts] = len(parts) + np.arange(len(heads))
         parts += heads
-        self.parts.learn(set(parts))
-        known = pa.array(list(map(self.parts.__getitem__, parts)), pa.large_binary())
+        self.learn(set(parts))
+        known = pa.array(list(map(self.__getitem__, parts)), pa.large_binary())
         found = known.take(pa.array(codes))
         ends = np.cumsum(pc.binary_length(found).to_numpy()) // 4
         values = ids_of(found.buffers()[2] or b"")[: int(ends[-1])]
