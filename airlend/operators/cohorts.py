@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlend.functions import columns as C
+from airlend.operators.skew import filter_by_subscribers
 from airlend.schemas import BUCKET_EDGES, CUSTOMER_PARTY, RECHARGE, REVERSAL_TEXT
 
 SALTS = 64
@@ -42,14 +43,17 @@ def subscribers_with_amount(finance: DataFrame, amount: int) -> DataFrame:
     return finance.filter(F.col("chosen_amount") == amount).select("msisdn").distinct()
 
 
-def period_recharges(ledger: DataFrame, periods: Mapping[str, tuple[str, str]]) -> DataFrame:
+def period_recharges(
+    ledger: DataFrame, periods: Mapping[str, tuple[str, str]], members: DataFrame | None = None
+) -> DataFrame:
     """Per subscriber, the customer recharges of each period, for subscribers with any. Repeated ledger rows
-    count once."""
+    count once. `members` (distinct msisdn) limits it to these subscribers before rows are compared."""
     tests = {name: C.period("event_ts", lo, hi) for name, (lo, hi) in periods.items()}
+    rows = customer_recharges(ledger).filter(reduce(operator.or_, tests.values()))
+    if members is not None:
+        rows = filter_by_subscribers(rows, members, "left_semi")
     return (
-        customer_recharges(ledger)
-        .filter(reduce(operator.or_, tests.values()))
-        .dropDuplicates()
+        rows.dropDuplicates()
         .groupBy("msisdn")
         .agg(*(F.sum(F.when(test, F.col("amount"))).alias(name) for name, test in tests.items()))
     )
@@ -60,10 +64,10 @@ def cohort_recharges(
 ) -> DataFrame:
     """Per cohort member, the customer recharges of each period; members without any are left out.
 
-    The ledger is reduced to a row per subscriber before it meets the cohort, so a subscriber with very many
-    rows never lands in one join task.
+    The cohort is small beside the ledger, so its rows are picked first, with salts: only they are compared
+    and summed, and a member with very many rows never lands in one task.
     """
-    return period_recharges(ledger, periods).join(cohort.select("msisdn").distinct(), "msisdn", "left_semi")
+    return period_recharges(ledger, periods, cohort.select("msisdn").distinct())
 
 
 def m0_daily_recharges(finance: DataFrame, ledger: DataFrame, m0: tuple[str, str]) -> DataFrame:

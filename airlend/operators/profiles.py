@@ -104,18 +104,20 @@ def payments_per_loan_month(payments: DataFrame) -> DataFrame:
     )
 
 
-def recharges_per_subscriber_month(recharges: DataFrame) -> DataFrame:
-    """month, n_subscribers, mean_amount, mean_number: recharges of a subscriber in the month, averaged."""
-    per_subscriber = recharges.groupBy("msisdn", C.month("recharge_ts").alias("month")).agg(
+def recharges_per_subscriber_month(recharges: DataFrame, *by: str) -> DataFrame:
+    """month, n_subscribers, mean_amount, mean_number: recharges of a subscriber in the month, averaged; for
+    each value of the columns `by` (eligibility, kind of row) on its own."""
+    per_subscriber = recharges.groupBy("msisdn", C.month("recharge_ts").alias("month"), *by).agg(
         F.sum("recharge_amount").alias("amount"), F.count("*").alias("n")
     )
-    totals = per_subscriber.groupBy("month").agg(
+    totals = per_subscriber.groupBy("month", *by).agg(
         F.count("*").alias("n_subscribers"),
         F.sum("amount").alias("amount"),
         F.sum("n").alias("n"),
     )
     return totals.select(
         "month",
+        *by,
         "n_subscribers",
         _mean(F.col("amount"), F.col("n_subscribers")).alias("mean_amount"),
         _mean(F.col("n"), F.col("n_subscribers")).alias("mean_number"),

@@ -30,12 +30,11 @@ def cohort_bucket_recharges(
 ) -> DataFrame:
     """msisdn, qualified_bucket and the customer recharges of each month around M0.
 
-    A subscriber who qualified for amounts in several buckets has one row in each. Recharges are reduced to a
-    row per subscriber and advances to one per subscriber and bucket; their join is then small on both sides
-    and also leaves out who is not in the cohort.
+    A subscriber who qualified for amounts in several buckets has one row in each. Only the cohort's recharges
+    are compared and summed; they are a row per subscriber before they meet the buckets.
     """
     cohort = with_amount_bucket(in_period(finance, "advance_ts", *month_period(m0)))
     periods = {offset_name(offset): month_period(m0, offset) for offset in offsets}
     buckets = cohort.select("msisdn", "qualified_bucket").distinct()
-    sums = period_recharges(ledger, periods)
+    sums = period_recharges(ledger, periods, buckets.select("msisdn").distinct())
     return sums.join(buckets, "msisdn").select("msisdn", "qualified_bucket", *periods)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlend import schemas as S
 from airlend.operators import cleaning, dataset, repayment
@@ -29,6 +31,7 @@ class FeatureConfig:
     tiers          tiers of the model loans, None for all
     burst_unit     loans within this unit of time are one loan
     known_by_loan_date, require_full_repayment   see `pay_day_features` and `repayment_targets`
+    attributes     further columns of the loans that the table keeps, of a burst those of its first loan
     heavy_rows     see `rolling`
     """
 
@@ -43,14 +46,21 @@ class FeatureConfig:
     burst_unit: str = "minute"
     known_by_loan_date: bool = False
     require_full_repayment: bool = False
+    attributes: Sequence[str] = ()
     heavy_rows: int | None = HEAVY_ROWS
 
 
 def prepare_sources(
-    advances: DataFrame, payments: DataFrame, recharges: DataFrame
+    advances: DataFrame,
+    payments: DataFrame,
+    recharges: DataFrame,
+    attributes: Mapping[str, tuple[str, T.DataType]] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three extracts as canonical tables: renamed, trimmed, typed, without invalid numbers and repeated
-    rows."""
+    rows. `attributes` names further columns of the advances to keep: source name to name and type."""
+    more = attributes or {}
+    columns = S.LOAN_COLUMNS | {source: name for source, (name, _) in more.items()}
+    schema = T.StructType([*S.LOANS, *(T.StructField(name, kind) for name, kind in more.values())])
 
     def prepare(df: DataFrame, mapping: dict[str, str], schema) -> DataFrame:
         typed = cleaning.type_template(cleaning.to_template(df, mapping), schema)
@@ -58,7 +68,7 @@ def prepare_sources(
         return cleaning.normalise_msisdn(cleaning.dedupe(typed))
 
     return (
-        prepare(advances, S.LOAN_COLUMNS, S.LOANS),
+        prepare(advances, columns, schema),
         prepare(payments, S.PAYMENT_COLUMNS, S.PAYMENTS),
         prepare(recharges, S.RECHARGE_COLUMNS, S.RECHARGES),
     )
@@ -88,7 +98,9 @@ def build_feature_table(
     loans and their targets all come from it. Loans, recharges and days to pay then go through one `rolling`
     pass, to which the model loans are rows with a payload, so there is no join back.
     """
+    fields = [*LOAN_FIELDS, *cfg.attributes]
     if cfg.history:
+        _check_history(payments, cfg)
         lo, hi = cfg.history[0], dataset.next_day(cfg.history[1])
         loans = in_period(loans, "loan_ts", lo, hi)
         payments = in_period(payments, "pay_ts", lo, hi)
@@ -123,13 +135,13 @@ def build_feature_table(
         results=model.selectExpr(
             "msisdn",
             "unix_seconds(loan_ts) AS epoch",
-            f"struct({', '.join(LOAN_FIELDS)}, total_paid, days_to_pay) AS payload",
+            f"struct({', '.join(fields)}, total_paid, days_to_pay) AS payload",
         ),
         heavy_rows=cfg.heavy_rows,
     )
     paid = "days_to_pay <= {n} AND total_paid >= burst_amount" if cfg.require_full_repayment else "days_to_pay <= {n}"
     return rolled.selectExpr(
-        *LOAN_FIELDS,
+        *fields,
         *tl.lookback_columns(windows, money),
         *tl.forward_columns(windows, money),
         *repayment.pay_day_columns(windows),
@@ -137,6 +149,19 @@ def build_feature_table(
     )
 
 
+def _check_history(payments: DataFrame, cfg: FeatureConfig) -> None:
+    """A stated history must be one that the payments reach: where the last of them comes before the last day
+    on which a model loan's target is open, loans would pass for unpaid because their payments are missing."""
+    first, last = map(date.fromisoformat, cfg.history)
+    lo, hi = map(date.fromisoformat, cfg.model_period)
+    if lo < first or hi > last:
+        raise ValueError(f"the model period {cfg.model_period} must lie within the history {cfg.history}")
+    needed = min(last, hi + timedelta(days=cfg.target_days))
+    found = payments.agg(F.max("pay_ts").alias("last")).first()["last"]
+    if found is None or found.date() < needed:
+        raise ValueError(f"the history is said to reach {last}, but the last payment is of {found}, before {needed}")
+
+
 def _chosen_window(repaid: DataFrame, model: DataFrame, payments: DataFrame, recharges: DataFrame, cfg):
     if cfg.history:
         first, last = map(date.fromisoformat, cfg.history)

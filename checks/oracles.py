@@ -209,7 +209,7 @@ def burst_sql(loans: str, payments: str, unit: str, more: str) -> str:
 
 def feature_table_sql() -> str:
     """The whole feature table over the plain order tables, with one window per feature."""
-    history = ("1995-01-01", "2001-08-01")
+    history = ("1995-01-01", "2001-11-30")
     lo, hi = MODEL_PERIOD
     windows = ORDER_WINDOWS
     start = f"(date '{history[0]}' + interval (max_window + 1) day)"
@@ -223,11 +223,16 @@ def feature_table_sql() -> str:
         f"""select m.msisdn, m.loan_id, m.loan_ts, 1::bigint as channel_id, m.status_id, m.tier_id,
                {money('m.service_fee', 'service_fee')}, {money('m.loan_amount', 'loan_amount')},
                {money('m.burst_amount', 'burst_amount')}, {money('m.burst_fee', 'burst_fee')}, m.burst_size,
+               {money('m.qualified_amount', 'qualified_amount')}, m.service_type,
                {', '.join(rounded)}, {', '.join(pay_names)}, {', '.join(targets(windows))}
         from chosen_model m
         join line_features f on f.msisdn = m.msisdn and f.loan_id = m.loan_id and f.op = 'L'
         join pay_features p on p.msisdn = m.msisdn and p.loan_id = m.loan_id""",
-        all_loans=ROLES["loans"],
+        plain_loans=ROLES["loans"],
+        all_loans=f"""
+            select l.*, cast(cast(o_totalprice as {MONEY}) * 2 as {MONEY}) as qualified_amount,
+                   o_orderpriority as service_type
+            from plain_loans l join orders on o_orderkey = l.loan_id""",
         all_payments=ROLES["payments"],
         all_recharges=ROLES["recharges"],
         loans=f"select * from all_loans where {in_days('loan_ts', history)}",
@@ -303,6 +308,14 @@ def oracle_sql() -> dict[str, str]:
             from (select distinct * from line_ledger) where {CUSTOMER} and ({near})
               and msisdn in (select msisdn from cohort) group by msisdn"""
 
+    def ledger_months(rows: str, by: str = "") -> str:
+        return f"""
+            select month{by}, count(*) as n_subscribers, cast(sum(amount) as double) / count(*) as mean_amount,
+                   cast(sum(n) as double) / count(*) as mean_number
+            from (select msisdn, date_trunc('month', event_ts)::timestamp as month{by}, sum(amount) as amount,
+                         count(*) as n
+                  from ledger {rows} group by all) group by all"""
+
     offsets = {-1: "m_minus_1", 0: "m0", 1: "m_plus_1", 2: "m_plus_2"}
     subscribers = ", ".join(f"'{s}'" for s in SUBSCRIBERS)
     suffixes = "right(msisdn, 2) in ('06', '08', '22', '39', '42')"
@@ -325,6 +338,17 @@ def oracle_sql() -> dict[str, str]:
     amount_counts = f"""select '{{0}}' as source, msisdn, count(*) as n, {money('sum({1})', 'amount')}
         from {{2}} group by msisdn"""
     padded = "lpad(msisdn, 10, '0') as msisdn"
+    prepared = """
+        select cast(user_id as varchar) as msisdn, event_id as advance_id, date_trunc('second', ts) as event_ts,
+               case when event_id % 11 <> 0 then cast(value as double) end as amount,
+               0::bigint as operation_type,
+               case when event_id % 2 = 0 then 1::bigint end as profile_eligibility,
+               strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
+               date_trunc('day', ts)::timestamp as day,
+               case when event_id % 7 <> 0 then event_type end as transaction_text,
+               case when event_id % 7 <> 0 then event_type end as entity,
+               case when event_id % 7 <> 0 then cast(user_id as varchar) end as entity_name
+        from events where ts < timestamp '2024-01-25'"""
     return {
         "daily_counts": sql(f"select {day}, count(event_ts) as n from ledger group by 1", "ledger"),
         "loan_daily": sql(
@@ -371,17 +395,8 @@ def oracle_sql() -> dict[str, str]:
                    strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
                    date_trunc('day', ts)::timestamp as day
             from events where ts < timestamp '2024-01-25'""",
-        "prepared_ledger": """
-            select cast(user_id as varchar) as msisdn, event_id as advance_id, date_trunc('second', ts) as event_ts,
-                   case when event_id % 11 <> 0 then cast(value as double) end as amount,
-                   0::bigint as operation_type,
-                   case when event_id % 2 = 0 then 1::bigint end as profile_eligibility,
-                   strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
-                   date_trunc('day', ts)::timestamp as day,
-                   case when event_id % 7 <> 0 then event_type end as transaction_text,
-                   case when event_id % 7 <> 0 then event_type end as entity,
-                   case when event_id % 7 <> 0 then cast(user_id as varchar) end as entity_name
-            from events where ts < timestamp '2024-01-25'""",
+        "prepared_ledger": prepared,
+        "wide_csv_ledger": prepared,
         "typed_finance": """
             select cast(o_custkey as varchar) as msisdn, o_orderdate as advance_ts, o_orderkey % 4 as advance_status,
                    o_totalprice as qualified_amount,
@@ -609,6 +624,10 @@ def oracle_sql() -> dict[str, str]:
                   from recharges group by 1, 2) group by 1""",
             "recharges",
         ),
+        "t8_recharges_by_eligibility": sql(
+            ledger_months("where operation_type = 0", ", profile_eligibility"), "ledger"
+        ),
+        "t8_without_payments": sql(ledger_months("where operation_type <> 2"), "ledger"),
         "t9_recharge_amounts": sql(
             f"select {money('recharge_amount', 'recharge_amount')}, count(*) as n from event_recharges group by 1",
             "event_recharges",

@@ -23,7 +23,7 @@ ORDER_WINDOWS = (90, 180, 365)
 PAY_DAY_WINDOWS = (365, 730, 1095)
 M0 = "1997-01-01"
 MODEL_PERIOD = ("1995-06-01", "2001-06-30")
-HISTORY = ("1995-01-01", "2001-08-01")
+HISTORY = ("1995-01-01", "2001-11-30")
 LOCAL_FOLDER = "/tmp/checkpoints/airlend"
 TARGET_DAYS = 90
 MIN_ROWS = 100
@@ -86,6 +86,34 @@ def q_csv_roundtrip(spark, d):
     return cleaning.type_ledger(tables.read_ledger(spark, folder)).drop("transaction_id")
 
 
+def q_wide_csv(spark, d):
+    """The raw ledger as CSV of 15 columns with quoted raw records, read by position and prepared."""
+    folder = f"{tables.shared_folder(spark).rstrip('/')}/wide-{uuid.uuid4().hex}"
+    raw = roles.raw_ledger(spark, d)
+    rows = raw.select(
+        *(F.col(c) if c in raw.columns else F.lit("x").alias(c) for c in S.WIDE_LEDGER_COLUMNS)
+    )
+    # Commas in the raw record are why it is quoted; blanks before a number are kept as they are.
+    rows.write.csv(folder, header=True, ignoreLeadingWhiteSpace=False)
+    wide = tables.read_ledger(spark, folder, names=S.WIDE_LEDGER_COLUMNS)
+    return prepare_ledger(wide, cut_over="2024-01-25").drop("transaction_id", "other_party")
+
+
+def _ledger_recharges(spark, d):
+    rows = roles.ledger(spark, d)
+    return rows.withColumnsRenamed({"event_ts": "recharge_ts", "amount": "recharge_amount"})
+
+
+def q_recharges_by_eligibility(spark, d):
+    recharges = _ledger_recharges(spark, d).filter(F.col("operation_type") == S.RECHARGE)
+    return profiles.recharges_per_subscriber_month(recharges, "profile_eligibility")
+
+
+def q_events_without_payments(spark, d):
+    rows = _ledger_recharges(spark, d).filter(F.col("operation_type") != S.PAYMENT)
+    return profiles.recharges_per_subscriber_month(rows)
+
+
 def q_write_features(spark, d):
     """Loans written by month and read back with the folder's month."""
     folder = f"{tables.shared_folder(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
@@ -208,9 +236,10 @@ def q_build_feature_table(spark, d):
         target_days=TARGET_DAYS,
         min_rows=MIN_ROWS,
         restrict_rows=True,
+        attributes=("qualified_amount", "service_type"),
     )
     features = build_feature_table(
-        roles.loans(spark, d), roles.payments(spark, d), roles.recharges(spark, d), cfg
+        roles.qualified_loans(spark, d), roles.payments(spark, d), roles.recharges(spark, d), cfg
     )
     return _rounded(features, "mean_", "std_")
 
@@ -270,6 +299,7 @@ QUERIES: dict[str, Query] = {
     ),
     "subscribers_with_amount": lambda s, d: cohorts.subscribers_with_amount(roles.finance(s, d), 20),
     "csv_roundtrip": q_csv_roundtrip,
+    "wide_csv_ledger": q_wide_csv,
     "write_features": q_write_features,
     "read_sources": q_read_sources,
     "paid_totals": lambda s, d: repayment.paid_totals(roles.payments(s, d)),
@@ -302,6 +332,8 @@ QUERIES: dict[str, Query] = {
     "t6_loan_size_repayment": lambda s, d: profiles.loan_size_repayment(_repaid(s, d), 10_000),
     "t7_payments_per_loan_month": lambda s, d: profiles.payments_per_loan_month(roles.payments(s, d)),
     "t8_recharges_per_subscriber_month": lambda s, d: profiles.recharges_per_subscriber_month(roles.recharges(s, d)),
+    "t8_recharges_by_eligibility": q_recharges_by_eligibility,
+    "t8_without_payments": q_events_without_payments,
     "t9_recharge_amounts": lambda s, d: profiles.recharge_amounts(roles.event_recharges(s, d)),
     "t10_recharges_before_loan_month": lambda s, d: profiles.recharges_before_loan_month(
         roles.loans(s, d), roles.recharges(s, d), M0

@@ -33,6 +33,16 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def qualified_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans with two more attributes: the amount qualified for and the service type."""
+    attributes = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("loan_id"),
+        _money(_money("o_totalprice") * 2).alias("qualified_amount"),
+        F.col("o_orderpriority").alias("service_type"),
+    )
+    return loans(spark, sf_dir).join(attributes, "loan_id")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("msisdn"))
     lines = table(spark, sf_dir, "lineitem")

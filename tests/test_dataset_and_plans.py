@@ -3,6 +3,8 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlend.operators import dataset
 from airlend.operators import profiles
@@ -246,3 +248,38 @@ def test_the_window_choice_cuts_no_rows_unless_asked(spark):
     assert build_feature_table(*tables, config(restrict_rows=False)).count() == whole.count()
     with pytest.raises(ValueError, match="no window"):
         build_feature_table(*tables, config(min_rows=10_000))
+
+
+def test_further_attributes_reach_the_table(spark):
+    taken, paid, spent = lending(spark)
+    taken = taken.selectExpr("*", "concat('s', loan_id) AS service_type")
+    cfg = config(restrict=False, windows=(10,), attributes=("service_type",))
+    rows = build_feature_table(taken, paid, spent, cfg).collect()
+    assert rows and all(r.service_type == f"s{r.loan_id}" for r in rows)
+
+
+def test_attributes_of_the_advances_are_kept_and_typed(spark):
+    schema = "MSISDN string, ADVANCE_ID string, LOAN_DATE string, LOAN_AMOUNT string, QUALIFIED string"
+    advances = spark.createDataFrame([("123456789", "1", "2022-04-01", "5", " 7.50 ")], schema)
+    payment = spark.createDataFrame([], "MSISDN string, ADVANCE_ID string, IN_DATE string, PAYMENT_AMOUNT string")
+    recharge = spark.createDataFrame([], "MSISDN string, DP_DATE string, RECHARGE_AMOUNT string, DP_ENTITY_TYPE string")
+    more = {"QUALIFIED": ("qualified_amount", T.DecimalType(18, 2))}
+    assert prepare_sources(advances, payment, recharge, more)[0].first().qualified_amount == Decimal("7.50")
+
+
+def test_a_stated_history_must_be_reached_by_the_payments(spark):
+    taken, paid, spent = lending(spark)
+    early = paid.filter("pay_ts < '2022-05-01'")
+    for changes in ({}, {"restrict": False}):
+        with pytest.raises(ValueError, match="last payment"):
+            build_feature_table(taken, early, spent, config(**changes))
+    with pytest.raises(ValueError, match="within the history"):
+        build_feature_table(taken, paid, spent, config(model_period=("2022-03-01", "2022-06-25")))
+
+
+def test_recharges_by_a_further_column(spark):
+    spent = recharges(spark, [("a", at(0), 1), ("a", at(1), 3), ("b", at(2), 2)])
+    spent = spent.withColumn("eligible", F.when(F.col("msisdn") == "a", 1))
+    found = {r.eligible: r for r in profiles.recharges_per_subscriber_month(spent, "eligible").collect()}
+    assert (found[1].n_subscribers, found[1].mean_amount, found[1].mean_number) == (1, 4.0, 2.0)
+    assert (found[None].n_subscribers, found[None].mean_amount) == (1, 2.0)
