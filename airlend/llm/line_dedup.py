@@ -1,13 +1,17 @@
-"""Deletes runs of lines that have occurred before, found by winnowing over line hashes.
+"""Deletes runs of lines that have occurred before, found by fingerprints of windows of lines.
 
-Lines are compared without white space at their ends; lines without words take no part. From each line on, a
-window takes the following lines until it has `min_words` words. The least line hash of each window (the last of
-equal ones) is a fingerprint, so any run of at least `min_words` words that occurs twice has a fingerprint
-common to both places. Each fingerprint is joined with its first place, in the order of doc_id, text hash and
-line; the two texts are laid upon each other there, and every maximal run of equal lines with at least
-`min_words` words is deleted from the later place, with the blank lines in it. The first of equal lines stays.
+Lines are compared without white space at their ends; lines without words take no part. From each line on, and
+back from it, a window takes lines until it has `min_words` words; a line that has them alone is a window, and
+so is that line with the next. The fingerprint of a window is its least line hash and a hash of all of them in
+order, so windows with one fingerprint have equal lines. Each window is joined with the first place of its
+fingerprint, in the order of doc_id, text hash and line; those at later places are deleted, with the blank
+lines in them. The first of equal lines stays.
 
-Everything is expressed in DataFrame functions. A line that many documents share is one row of the join's
+This deletes every maximal run of at least `min_words` words that occurred before, whatever else its lines
+occur in: the run's windows have all been met, and each two neighbours in it share one of them, the one from
+the first on, the one back from the second, or the one from the run's start on.
+
+Everything is expressed in DataFrame functions. A window that many documents share is one row of the join's
 smaller side, and its own rows are spread by Spark's skew handling; only first places are paired, never all.
 
 Null texts are handled as empty and stay null. Documents of one doc_id follow each other in the order of a hash
@@ -16,7 +20,7 @@ of their text; rows that repeat both are one document and lose the same lines. A
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlend.llm.common import keyed, stage, unpacked, with_keys
@@ -43,51 +47,55 @@ def line_lists(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(lists: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """dk, th, r (place among the lines with words), h: the least hash of each window."""
-    rows = lists.select("dk", "th", F.posexplode("lines").alias("r", "x")).select("dk", "th", "r", "x.h", "x.w")
+    """dk, th, lo, hi (line numbers), least and hashes: each window and its fingerprint."""
+    rows = lists.select("dk", "th", F.explode("lines").alias("x")).select("dk", "th", "x.i", "x.h", "x.w")
     doc = Window.partitionBy("dk", "th")
-    upto = doc.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    upto = doc.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"upto": F.sum("w").over(upto), "total": F.sum("w").over(doc)})
+    rows = rows.withColumn("before", F.col("upto") - F.col("w"))
+    ahead = doc.orderBy("before").rangeBetween(0, min_words - 1)
+    behind = doc.orderBy("upto").rangeBetween(1 - min_words, 0)
     rows = rows.withColumns(
-        {"before": F.coalesce(F.sum("w").over(upto), F.lit(0)), "total": F.sum("w").over(doc)}
+        {
+            "following": F.collect_list("h").over(ahead),
+            "last": F.max("i").over(ahead),
+            "next": F.lead(F.struct("i", "h")).over(doc.orderBy("before")),
+        }
     )
-    window = doc.orderBy("before").rangeBetween(0, min_words - 1)
-    least = F.min(F.struct("h", (-F.col("r")).alias("back"))).over(window)
-    rows = rows.withColumn("least", least).where(F.col("total") - F.col("before") >= min_words)
-    return rows.select("dk", "th", (-F.col("least.back")).alias("r"), F.col("least.h").alias("h")).distinct()
+    rows = rows.withColumns({"preceding": F.collect_list("h").over(behind), "first": F.min("i").over(behind)})
+
+    def window(lo: Column, hi: Column, lines: Column) -> Column:
+        return F.struct(lo.alias("lo"), hi.alias("hi"), F.array_min(lines).alias("least"), F.xxhash64(lines).alias("hashes"))
+
+    i, h, alone = F.col("i"), F.col("h"), F.col("w") >= min_words
+    found = F.array(
+        F.when(alone, window(i, i, F.array(h))),
+        F.when(alone & F.col("next").isNotNull(), window(i, F.col("next.i"), F.array(h, F.col("next.h")))),
+        F.when(~alone & (F.col("total") - F.col("before") >= min_words), window(i, F.col("last"), F.col("following"))),
+        F.when(~alone & (F.col("upto") >= min_words), window(F.col("first"), i, F.col("preceding"))),
+    )
+    return rows.select("dk", "th", F.explode(F.array_compact(found)).alias("x")).select("dk", "th", "x.*")
 
 
 def repeated_runs(lists: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """dk, th, runs: line numbers (lo, hi) of the runs to delete."""
-    prints = stage(fingerprints(lists, min_words), "winnowed")
-    place = F.struct("dk", "th", "r")
-    firsts = prints.groupBy("h").agg(F.min(place).alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shifts = prints.join(firsts, "h").where(place > F.col("source"))
-    shifts = shifts.select(
-        "dk",
-        "th",
-        F.col("source.dk").alias("source_dk"),
-        F.col("source.th").alias("source_th"),
-        (F.col("r") - F.col("source.r")).alias("shift"),
-    ).distinct()
-    sources = lists.select(
-        F.col("dk").alias("source_dk"), F.col("th").alias("source_th"), F.col("lines.h").alias("source")
-    )
-    both = shifts.join(sources, ["source_dk", "source_th"]).join(lists, ["dk", "th"])
-    other = lambda k: F.get("source", k - F.col("shift").cast("int"))
-    numbered = F.transform("lines", lambda x, k: F.struct(k.alias("k"), x["i"].alias("i"), x["h"].alias("h"), x["w"].alias("w")))
-    equal = F.filter(numbered, lambda x: x["h"] == other(x["k"]))
-    one = ["dk", "th", "source_dk", "source_th", "shift"]
-    rows = both.select(*one, F.explode(equal).alias("x")).select(*one, "x.k", "x.i", "x.w")
-    island = F.col("k") - F.row_number().over(Window.partitionBy(*one).orderBy("k"))
-    runs = rows.withColumn("island", island).groupBy(*one, "island")
-    runs = runs.agg(F.sum("w").alias("words"), F.min("i").alias("lo"), F.max("i").alias("hi"))
-    runs = runs.where(F.col("words") >= min_words)
-    return runs.groupBy("dk", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    prints = stage(fingerprints(lists, min_words), "windows")
+    place, key = F.struct("dk", "th", "lo"), ["least", "hashes"]
+    firsts = prints.groupBy(*key).agg(F.min(place).alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = prints.join(firsts, key).where(place > F.col("source"))
+    again = again.groupBy("dk", "th", "lo").agg(F.max("hi").alias("hi"))
+    # Windows that overlap become one run.
+    doc = Window.partitionBy("dk", "th").orderBy("lo")
+    apart = F.col("lo") > F.coalesce(F.max("hi").over(doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    upto = doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = again.withColumn("apart", apart.cast("int")).withColumn("island", F.sum("apart").over(upto))
+    runs = runs.groupBy("dk", "th", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return runs.groupBy("dk", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
 
 def deduplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with text cut, and n_lines (before) and n_removed; these replace columns of those names."""
-    runs = repeated_runs(stage(line_lists(docs), "lines"), min_words)
+    runs = repeated_runs(line_lists(docs), min_words)
     rows = with_keys(docs).join(runs, ["dk", "th"], "left")
     lines = F.split(F.col("row.text").cast("string"), "\n")
     kept = F.filter(lines, lambda line, i: ~F.exists("runs", lambda run: (run["lo"] <= i) & (i <= run["hi"])))

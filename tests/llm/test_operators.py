@@ -212,6 +212,51 @@ def test_line_dedup(spark, docs, none):
     assert line_dedup.deduplicate_lines(none).count() == 0
 
 
+def lines_to_keep(docs: list[tuple[int, str]], least: int = 50) -> dict[int, str]:
+    """Every pair of places compared line by line, in the order of the documents."""
+    places, kept = [], {}
+    for doc, text in docs:
+        lines = text.split("\n")
+        full = [(k, line.strip()) for k, line in enumerate(lines) if line.strip()]
+        places.append(full)
+        gone = set()
+        for source in places:
+            for shift in range(-len(full), len(source)):
+                if source is full and shift >= 0:
+                    continue
+                run = []
+                for k in range(len(full) + 1):
+                    if k < len(full) and 0 <= k + shift < len(source) and full[k][1] == source[k + shift][1]:
+                        run.append(full[k])
+                        continue
+                    if sum(len(line.split()) for _, line in run) >= least:
+                        gone |= set(range(run[0][0], run[-1][0] + 1))
+                    run = []
+        kept[doc] = "\n".join(line for k, line in enumerate(lines) if k not in gone)
+    return kept
+
+
+def test_line_dedup_where_lines_occur_first_elsewhere(spark):
+    passage = [sentence(500 + k, 10) for k in range(8)]
+    foreign = [f"{line}\n{sentence(1000 + 10 * k + n, 45)}" for k, line in enumerate(passage) for n in range(8)]
+    wide = [sentence(600 + k, 55) for k in range(4)]
+    tail = [sentence(700, 20), sentence(701, 20), sentence(702, 47), "x y", "z"]
+    parts = [
+        "\n".join(foreign),
+        *("\n\n".join([sentence(2000 + k, 12), *passage, sentence(2100 + k, 12)]) for k in range(2)),
+        *("\n\n".join([f"{k}", *wide, f"{k}"]) for k in range(2)),
+        *("\n \n".join([f"{k} a", *tail, f"{k} b"]) for k in range(2)),
+        "\n".join([*passage, *passage[2:], *tail[1:], wide[3], wide[0], "y", *tail[:3]]),
+        "\n".join(["a b c"] * 40),
+    ]
+    rng = random.Random(3)
+    pool = [*passage, *tail, *wide, "a b c", ""]
+    parts += ["\n".join(rng.choice(pool) for _ in range(30)) for _ in range(12)]
+    docs = list(enumerate(parts))
+    found = line_dedup.deduplicate_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: r.text for r in found.collect()} == lines_to_keep(docs)
+
+
 def test_merkle(spark, docs, none):
     rows = [r for k, r in enumerate(ROWS) if k < len(TEXTS)]
     found = merkle.edited_fingerprints(spark.createDataFrame(rows, SCHEMA))
