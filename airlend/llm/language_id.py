@@ -1,9 +1,10 @@
 """Language identification by word-first backoff.
 
 Training counts the words of all labelled documents by language, and from these counts the character n-grams
-of words, with "^" and "$" at their ends. The model keeps the MAX_WORDS most frequent words and the MAX_GRAMS
-most frequent n-grams over all languages (counts are exact; the bounds keep what is sent to the executors below
-some 30 MB for each 10 languages).
+of words, with "^" and "$" at their ends. All counts are kept, as staged tables. Only the MAX_WORDS most frequent
+words and the MAX_GRAMS most frequent n-grams over all languages are sent to the executors (some 30 MB for each
+10 languages); the other words of the texts, and the n-grams of those that training has not met, are looked up
+by joins, so what is sent changes the work and not the result.
 
 A word of a text that the model knows is scored by its smoothed log frequency in each language. Others back
 off: every 4-gram of the word that is known is scored by its log frequency among 4-grams, each unknown one by
@@ -18,12 +19,12 @@ learn from. Rows without text or language teach nothing. Repeated rows count eac
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlend.llm.common import stage
@@ -100,130 +101,214 @@ def count_grams(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Head:
+    """What is sent to the executors: rows of log frequencies of the most frequent words and n-grams."""
+
+    words: dict[str, int]
+    word_scores: np.ndarray
+    grams: dict[str, int]
+    gram_scores: np.ndarray
+
+
 @dataclass
 class Model:
+    """words: word, scores. grams: gram, scores. scores: log frequencies in each of langs."""
+
     langs: list[str] = field(default_factory=list)
-    words: dict[str, int] = field(default_factory=dict)
-    word_scores: np.ndarray | None = None
-    grams: dict[str, int] = field(default_factory=dict)
-    gram_scores: np.ndarray | None = None
-
-    def score_words(self, words: list[str]) -> np.ndarray:
-        """A row of log frequencies for each word."""
-        codes = np.fromiter((self.words.get(w, -1) for w in words), "i8", len(words))
-        scores = self.word_scores[codes]
-        unseen = np.flatnonzero(codes < 0)
-        if len(unseen):
-            found, sizes = [], []
-            for k in unseen.tolist():
-                at = len(found)
-                self._backoff("^" + words[k] + "$", found)
-                sizes.append(len(found) - at)
-            sums = np.add.reduceat(self.gram_scores[found], np.cumsum([0, *sizes[:-1]]), axis=0)
-            scores[unseen] = sums / np.array(sizes)[:, None]
-        return scores
-
-    def _backoff(self, word: str, found: list[int]) -> None:
-        code = self.grams.get
-        n = min(LONGEST, len(word))
-        for at in range(len(word) - n + 1):
-            gram = code(word[at : at + n])
-            if gram is None:
-                self._shorter(word[at : at + n], found)
-            else:
-                found.append(gram)
-
-    def _shorter(self, gram: str, found: list[int]) -> None:
-        if len(gram) == 1:
-            found.append(len(self.grams))  # a character never met: equally likely in all languages
-            return
-        for part in (gram[:-1], gram[1:]):
-            code = self.grams.get(part)
-            if code is None:
-                self._shorter(part, found)
-            else:
-                found.append(code)
-
-
-def _table(rows: list, langs: list[str], totals: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    """Keys to rows of smoothed log frequencies. totals: by language, of all keys of the table."""
-    keys: dict[str, int] = {}
-    for row in rows:
-        keys.setdefault(row["key"], len(keys))
-    counts = np.zeros((len(keys) + 1, len(langs)))
-    at = {lang: k for k, lang in enumerate(langs)}
-    for row in rows:
-        counts[keys[row["key"]], at[row["lang"]]] = row["n"]
-    return keys, np.log((counts + SMOOTHING) / (totals + SMOOTHING * (len(keys) + 1)))
-
-
-def _most_frequent(counts: DataFrame, key: str, most: int) -> list:
-    """The counts by language of the `most` keys with most occurrences in all."""
-    total = counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    top = total.orderBy(F.desc("total"), key).limit(most)
-    return top.select(F.col(key).alias("key"), F.explode("by").alias("b")).select("key", "b.lang", "b.n").collect()
+    words: DataFrame | None = None
+    grams: DataFrame | None = None
+    head: Head | None = None
+    #: Whether the head holds all n-grams.
+    all_grams: bool = True
+
+
+def _parts(word: str) -> set[str]:
+    """The n-grams that a word can back off to."""
+    marked = f"^{word}$"
+    return {marked[at : at + n] for n in range(1, LONGEST + 1) for at in range(len(marked) - n + 1)}
+
+
+def _backoff(word: str, get: Callable[[str], np.ndarray | None], unmet: np.ndarray) -> np.ndarray:
+    """The mean log frequencies of a word's longest known n-grams."""
+    found: list[np.ndarray] = []
+
+    def add(gram: str) -> None:
+        scores = get(gram)
+        if scores is not None:
+            found.append(scores)
+        elif len(gram) == 1:
+            found.append(unmet)  # a character never met: equally likely in all languages
+        else:
+            add(gram[:-1])
+            add(gram[1:])
+
+    marked = f"^{word}$"
+    n = min(LONGEST, len(marked))
+    for at in range(len(marked) - n + 1):
+        add(marked[at : at + n])
+    return np.mean(found, axis=0)
+
+
+def _by_language(counts: DataFrame, key: str, langs: list[str]) -> DataFrame:
+    """key, n: its counts in each of langs, total."""
+    n = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in langs]
+    return counts.groupBy(key).agg(F.array(*n).alias("n"), F.sum("n").alias("total"))
+
+
+def _logs(totals: Column, distinct: int) -> Column:
+    """Smoothed log frequencies of the counts `n` among `totals` by language."""
+    return F.zip_with("n", totals, lambda n, of: F.log((n + SMOOTHING) / (of + SMOOTHING * (distinct + 1))))
+
+
+def _most_frequent(scored: DataFrame, key: str, most: int, langs: int) -> tuple[dict[str, int], np.ndarray]:
+    rows = scored.orderBy(F.desc("total"), key).limit(most).select(key, "scores").collect()
+    return {row[0]: k for k, row in enumerate(rows)}, np.array([row[1] for row in rows]).reshape(len(rows), langs)
 
 
 def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model from all rows with text and lang."""
-    words = stage(count_words(docs), "words")
-    grams = stage(count_grams(words), "grams")
-    totals = {row["lang"]: row["n"] for row in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    counted = stage(count_words(docs), "counted")
+    totals = {row["lang"]: row["n"] for row in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
         return Model()
-    model = Model(langs)
-    all_words = np.array([totals[lang] for lang in langs], float)
-    model.words, model.word_scores = _table(_most_frequent(words, "word", max_words), langs, all_words)
-    by_size = grams.groupBy("lang", F.length("gram").alias("size")).agg(F.sum("n").alias("n")).collect()
-    sizes = {(row["lang"], row["size"]): float(row["n"]) for row in by_size}
-    rows = _most_frequent(grams, "gram", max_grams)
-    model.grams, scores = _table(rows, langs, np.ones(len(langs)))
-    # Log frequencies among the n-grams of one length; `scores` has them up to a constant for each language.
-    raw = np.exp(scores) * (1 + SMOOTHING * (len(model.grams) + 1))
-    for gram, k in model.grams.items():
-        of = np.array([sizes.get((lang, len(gram)), 0.0) for lang in langs])
-        raw[k] /= of + SMOOTHING * (len(model.grams) + 1)
-    model.gram_scores = np.log(raw)
-    model.gram_scores[-1] = 0.0
-    return model
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of docs with lang_pred and score (both replaced if they are there)."""
-    spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-
-    def predictions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = [*model.langs, UNDETERMINED]
+    words = stage(_by_language(counted, "word", langs), "words")
+    grams = stage(_by_language(count_grams(counted), "gram", langs), "grams")
+    of_all = F.array(*[F.lit(float(totals[lang])) for lang in langs])
+    words = words.select("word", "total", _logs(of_all, words.count()).alias("scores"))
+    size = F.length("gram")
+    sums = [F.sum(F.col("n")[k]).cast("double") for k in range(len(langs))]
+    of_size = {row["size"]: row["n"] for row in grams.groupBy(size.alias("size")).agg(F.array(*sums).alias("n")).collect()}
+    totals_of = F.array(*[F.array(*map(F.lit, of_size.get(n, [0.0] * len(langs)))) for n in range(1, LONGEST + 1)])
+    n_grams = grams.count()
+    grams = grams.select("gram", "total", _logs(F.get(totals_of, size - 1), n_grams).alias("scores"))
+    head = Head(
+        *_most_frequent(words, "word", max_words, len(langs)), *_most_frequent(grams, "gram", max_grams, len(langs))
+    )
+    return Model(langs, words.drop("total"), grams.drop("total"), head, n_grams <= max_grams)
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(values) + 1, dtype="i4") * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), pa.float64()))
+
+
+def _shares(scores: np.ndarray) -> np.ndarray:
+    """The probability of each language given the word alone."""
+    share = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return share / share.sum(axis=1, keepdims=True)
+
+
+def _frequent_words(texts: DataFrame, model: Model) -> DataFrame:
+    """k1, k2, sums and shares over the words of the head, size, has (a letter), rest: the other words, how often."""
+    shared = texts.sparkSession.sparkContext.broadcast(model.head)
+    count = len(model.langs)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = shared.value
+        head_shares = _shares(head.word_scores) if len(head.words) else head.word_scores
         for batch in batches:
-            picked, scores = [], []
-            for texts in _slices(batch["_text"].to_pylist()):
+            at = 0
+            for texts in _slices(batch["text"].to_pylist()):
                 sizes, codes, words = _coded(texts)
-                best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+                of = np.repeat(np.arange(len(texts)), sizes)
                 lettered = np.array([any(map(str.isalpha, w)) for w in words], bool)
                 has = np.zeros(len(texts), bool)
-                if model.langs and len(codes):
-                    of = np.repeat(np.arange(len(texts)), sizes)
-                    has[of[lettered[codes]]] = True
-                    by_word = model.score_words(words)
-                    share = np.exp(by_word - by_word.max(axis=1, keepdims=True))
-                    share /= share.sum(axis=1, keepdims=True)
-                    sums = [np.bincount(of, by_word[codes, k], len(texts)) for k in range(len(model.langs))]
-                    best = np.where(has, np.argmax(sums, axis=0), best)
-                    mine = np.bincount(of, share[codes, best[of] % len(model.langs)], len(texts))
-                    score = np.where(has, mine / np.maximum(sizes, 1), 0.0)
-                picked += best.tolist()
-                scores += score.tolist()
-            langs = pa.array([names[k] for k in picked], pa.string())
-            columns = [batch["_row"], langs, pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_row", "lang_pred", "score"])
+                has[of[lettered[codes]]] = True
+                row = np.fromiter((head.words.get(w, -1) for w in words), "i8", len(words))[codes]
+                met = row >= 0
+                sums, shares = (
+                    np.stack([np.bincount(of[met], table[row[met], k], len(texts)) for k in range(count)], axis=1)
+                    for table in (head.word_scores, head_shares)
+                )
+                cells, n = np.unique(of[~met] * max(len(words), 1) + codes[~met], return_counts=True)
+                text, word = cells // max(len(words), 1), cells % max(len(words), 1)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(words, pa.string()).take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"]
+                )
+                offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype("i4")
+                rest = pa.ListArray.from_arrays(pa.array(offsets), pairs)
+                keys = [batch[k].slice(at, len(texts)) for k in ("k1", "k2")]
+                at += len(texts)
+                columns = [*keys, _lists(sums), _lists(shares), pa.array(sizes, pa.int64()), pa.array(has), rest]
+                yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "sums", "shares", "size", "has", "rest"])
+
+    schema = "k1 long, k2 int, sums array<double>, shares array<double>, size long, has boolean, rest array<struct<word:string,n:long>>"
+    return stage(texts.mapInArrow(scored, schema), "frequent").dropDuplicates(["k1", "k2"])
+
+
+def _word_scores(words: DataFrame, model: Model) -> DataFrame:
+    """word, scores of distinct words: those of the model, or else from n-grams."""
+    found = stage(words.join(model.words, "word", "left"), "looked_up")
+    unseen = found.where(F.col("scores").isNull()).select("word")
+    shared = words.sparkSession.sparkContext.broadcast(model.head)
+    count = len(model.langs)
+
+    def rare_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value.grams
+        for batch in batches:
+            pairs = [(w, g) for w in batch["word"].to_pylist() for g in _parts(w) if g not in known]
+            columns = [pa.array([pair[k] for pair in pairs], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "gram"])
 
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, unmet = shared.value, np.zeros(count)
+        for batch in batches:
+            scores = []
+            for word, rare in zip(batch["word"].to_pylist(), batch["rare"].to_pylist()):
+                others = {x["gram"]: np.array(x["scores"]) for x in rare or ()}
+
+                def get(gram: str) -> np.ndarray | None:
+                    at = head.grams.get(gram)
+                    return others.get(gram) if at is None else head.gram_scores[at]
+
+                scores.append(_backoff(word, get, unmet))
+            columns = [batch["word"], _lists(np.array(scores).reshape(len(scores), count))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "scores"])
+
+    if model.all_grams:
+        rows = unseen.withColumn("rare", F.lit(None).cast("array<struct<gram:string,scores:array<double>>>"))
+    else:
+        parts = unseen.mapInArrow(rare_parts, "word string, gram string").join(model.grams, "gram")
+        parts = parts.groupBy("word").agg(F.collect_list(F.struct("gram", "scores")).alias("rare"))
+        rows = unseen.join(parts, "word", "left")
+    backed = rows.mapInArrow(scored, "word string, scores array<double>")
+    return found.where(F.col("scores").isNotNull()).unionByName(backed)
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of docs with lang_pred and score (both replaced if they are there)."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(F.struct(*[docs[c] for c in kept]).alias("_row"), docs["text"].cast("string").alias("_text"))
-    schema = rows.select("_row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    for name in ("lang_pred", "score"):
-        schema[name].nullable = True
-    found = rows.mapInArrow(predictions, schema)
-    return found.select(*[F.col("_row")[c].alias(c) for c in kept], "lang_pred", "score")
+    rows = docs.select(F.struct(*[docs[c] for c in kept]).alias("_row"), docs["text"].cast("string").alias("text"))
+    columns = [F.col("_row")[c].alias(c) for c in kept]
+    if not model.langs:
+        return rows.select(*columns, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    # What is predicted depends on the text alone, so texts are keyed by 96 bits of hash.
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text")})
+    texts = _frequent_words(rows.select("k1", "k2", "text"), model)
+    rest = texts.select("k1", "k2", F.explode("rest").alias("x")).select("k1", "k2", "x.word", "x.n")
+    scores = _word_scores(rest.select("word").distinct(), model)
+    powers = F.transform("scores", lambda x: F.exp(x - F.array_max("scores")))
+    scores = scores.withColumn("powers", powers)
+    total = F.aggregate("powers", F.lit(0.0), lambda a, x: a + x)
+    scores = stage(scores.withColumn("share", F.transform("powers", lambda x: x / total)).drop("powers"), "others")
+    count = range(len(model.langs))
+    found = rest.join(scores, "word").groupBy("k1", "k2")
+    found = found.agg(
+        F.array(*[F.sum(F.col("n") * F.col("scores")[k]) for k in count]).alias("more_sums"),
+        F.array(*[F.sum(F.col("n") * F.col("share")[k]) for k in count]).alias("more_shares"),
+    )
+    texts = texts.drop("rest").join(found, ["k1", "k2"], "left")
+
+    def both(one: str, other: str) -> Column:
+        return F.coalesce(F.zip_with(one, other, lambda a, b: a + b), F.col(one))
+
+    texts = texts.withColumns({"sums": both("sums", "more_sums"), "shares": both("shares", "more_shares")})
+    best = F.array_position("sums", F.array_max("sums")).cast("int")
+    langs = F.array(*map(F.lit, model.langs))
+    lang = F.when(F.col("has"), F.element_at(langs, best)).otherwise(UNDETERMINED)
+    score = F.when(F.col("has"), F.element_at("shares", best) / F.col("size")).otherwise(0.0)
+    told = stage(texts.select("k1", "k2", lang.alias("lang_pred"), score.alias("score")), "languages")
+    return rows.drop("text").join(told, ["k1", "k2"], "left").select(*columns, "lang_pred", "score")

@@ -173,6 +173,23 @@ def test_language_id(spark, docs, none):
     assert language_id.predict(none, model).count() == 0
 
 
+def test_language_id_keeps_all_counts(spark):
+    """A language whose words are all rare is told whatever is sent to the executors."""
+    rng = random.Random(9)
+    words = {lang: ["".join(rng.choice("aeioulnrst") for _ in range(6)) for _ in range(40)] for lang in ("aa", "bb", "cc")}
+    made = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(15))
+    rows = [(made(lang), lang) for lang, n in (("aa", 60), ("bb", 60), ("cc", 6)) for _ in range(n)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    texts = [(k, made(lang) + (" eiou~ntsr" if k % 2 else ""), lang) for k, lang in enumerate(list(words) * 6)]
+    frame = spark.createDataFrame([*texts, texts[3]], "k int, text string, want string")
+    told = []
+    for bounds in ((50_000, 100_000), (40, 100), (0, 0)):
+        found = language_id.predict(frame, language_id.train(labelled, *bounds)).orderBy("k").collect()
+        assert len(found) == len(texts) + 1 and all(r.lang_pred == r.want for r in found)
+        told.append([r.score for r in found])
+    assert np.allclose(told[0], told[1], rtol=1e-9) and np.allclose(told[0], told[2], rtol=1e-9)
+
+
 def test_secret_scan(docs, none):
     assign = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
     ratios = secret_scan.train(secret_scan.labelled_samples(docs))
