@@ -3,9 +3,11 @@
 Candidates are runs of at least MIN_LENGTH characters of an alphabet of 66. Two first-order Markov models, one
 of random strings and one of ordinary identifiers, give a candidate's log-likelihood ratio; at THRESHOLD or
 more it is a `markov` span, unless it overlaps a pattern's span or is a number. The models are counts of character pairs in
-labelled samples (token, random), backed off to single characters where little was seen. `labelled_samples` makes such samples: keys written in hex,
-base 64 (both alphabets) and upper case as random ones, and the words of up to SAMPLE_DOCS documents, those with the least hash
-of their id, as ordinary ones; only this fit is bounded, every text is scanned as a whole.
+labelled samples (token, random), backed off to single characters where little was seen. `labelled_samples` makes
+such samples. Random ones are keys written in hex, base 64 (both alphabets) and upper case. Ordinary ones are the words of up to
+SAMPLE_DOCS documents, those with the least hash of their id, without what the patterns match, and identifiers
+made of these words and of NAMES: paths, camel case, upper snake, hyphenated, with dates, versions and numbers;
+only this fit is bounded, every text is scanned as a whole.
 
 Everything is expressed in DataFrame functions; the fitted ratio table (66 x 66) becomes a literal. Positions are
 code points, the end exclusive. Null texts are empty and have no spans; `redact` leaves them null. Rows are
@@ -37,6 +39,33 @@ SAMPLE_DOCS = 2_000
 SAMPLE_KEYS = 6_000
 #: Pairs after a character that its single-character frequencies weigh as much as.
 BACKOFF = 10.0
+#: The same as a share of the pairs after that character: one never seen after a frequent one decides nothing alone.
+BACKOFF_SHARE = 0.02
+#: Identifiers made of NAMES.
+SAMPLE_NAMES = 20_000
+NAMES = """
+access action address admin agent album alert amount answer application archive array article asset async
+attribute audio author average batch binary block branch browser buffer button cache callback camera cancel
+capture category channel character chart check child class click cloud cluster code collection color command
+comment compare component content context controller copy count country create current customer dashboard data
+debug default delete deploy description device dialog directory display document domain download driver
+duplicate editor element email enable engine entity entry error event exchange execute export extension factory
+feature field file filter final folder font format frame function gateway generate global graph group hash
+header height history home host icon image import input instance integer interface internal item iterator item
+job journal key kernel keyboard label language layer layout length level library license limit line link list
+listener load local location lock login logger loop machine manager map margin master match matrix memory menu
+merge message method metric middle mobile mode monitor mouse name native network next notice number object
+offset operation option output override owner page panel parent password path pattern pending phone picture
+pixel platform player plugin point policy position prefix preview price print private process product profile
+project property protocol provider proxy public publish quality queue quick random range rate read receive
+record refresh region register remote remove render replace report repository reset resource restore result
+return review role root route rule sample save scale schedule schema scope screen script search second section
+security select send sequence session setting shape share signal simple single snapshot socket sort source space
+stack stage standard start state static status step storage store stream string style submit summary switch
+symbol sync system tab tag target task team template text thread time timer title toggle token tool total track
+transaction transfer tree trigger type unit upload user utility validate value vector vendor video view virtual
+visible volume warning watch weight widget width window worker wrapper write xml year zone
+""".split()
 MARK = "[SECRET]"
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -76,8 +105,36 @@ def _matches(text: Column, pattern: str, group: int, least: int, kind: str, rank
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
+def _identifiers(rows: DataFrame) -> DataFrame:
+    """token: three words a, b and c of each row put together in one of twelve ways, chosen like its numbers by r."""
+    a, b, c, r = F.lower("a"), F.lower("b"), F.lower("c"), F.xxhash64("a", "b", "c", "r")
+    first = lambda word: F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 1_000_000))
+
+    def number(shift: int, least: int, most: int, digits: int = 1) -> Column:
+        return F.format_string(f"%0{digits}d", least + F.pmod(F.shiftright(r, shift), F.lit(most - least + 1)))
+
+    year, month, day = number(8, 1990, 2029, 4), number(16, 1, 12, 2), number(20, 1, 28, 2)
+    hour, minute, many, one = number(28, 0, 23, 2), number(36, 0, 59, 2), number(44, 0, 999), number(52, 0, 9)
+    ways = [
+        F.concat_ws("/", a, b, c),
+        F.concat(a, first(b), first(c)),
+        F.upper(F.concat_ws("_", a, b, c)),
+        F.concat(a, F.lit("_"), b, F.lit("_"), year, F.lit("_"), c, F.lit("_v"), one),
+        F.concat_ws("-", a, b, c),
+        F.concat_ws("/", a, year, month, b),
+        F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), hour, F.lit("-"), minute, F.lit("-"), day, F.lit("Z")),
+        F.concat(first(a), first(b), first(c)),
+        F.concat_ws("-", a, b, many),
+        F.concat_ws("-", a, year, month, day, b),
+        F.concat(first(a), F.lit("/"), first(b), F.lit("_"), many, F.lit("/"), c, one),
+        F.concat_ws("_", a, b, c),
+    ]
+    way = F.pmod(r, F.lit(len(ways)))
+    return rows.select(F.coalesce(*[F.when(way == k, made) for k, made in enumerate(ways)]).alias("token"))
+
+
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """token, random: generated keys, and the words of a bounded sample of documents."""
+    """token, random: generated keys, the words of a bounded sample of documents, and generated identifiers."""
     spark: SparkSession = docs.sparkSession
     digest = F.sha2(F.col("id").cast("string"), 256)
     keys = spark.range(SAMPLE_KEYS).select(
@@ -90,10 +147,23 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     chosen = docs.select(F.xxhash64("doc_id").alias("at"), text.alias("text")).orderBy("at", F.xxhash64("text")).limit(SAMPLE_DOCS)
+    clear = F.col("text")
+    for pattern, _, _ in PATTERNS.values():
+        clear = F.regexp_replace(clear, pattern, " ")
     # Words of letters and low lines only: what has digits may be a secret.
-    words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_-])"), F.lit(0))
-    plain = chosen.select(F.explode(words).alias("token"), F.lit(False).alias("random"))
-    return keys.unionByName(plain)
+    words = F.regexp_extract_all(clear, F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_-])"), F.lit(0))
+    chosen = chosen.select(words.alias("words"))
+    threes = F.transform(
+        F.filter(F.transform("words", lambda _, k: k), lambda k: (k % 3 == 0) & (k + 2 < F.size("words"))),
+        lambda k: F.struct(*[F.get("words", k + n).alias(name) for n, name in enumerate("abc")], k.alias("r")),
+    )
+    names = F.array(*map(F.lit, NAMES))
+    picked = [F.get(names, F.pmod(F.xxhash64("id", F.lit(name)), F.lit(len(NAMES))).cast("int")).alias(name) for name in "abc"]
+    made = _identifiers(chosen.select(F.inline(threes))).unionByName(
+        _identifiers(spark.range(SAMPLE_NAMES).select(*picked, F.col("id").cast("int").alias("r")))
+    )
+    plain = chosen.select(F.explode("words").alias("token")).unionByName(made)
+    return keys.unionByName(plain.withColumn("random", F.lit(False)))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -111,7 +181,8 @@ def train(samples: DataFrame) -> list[float]:
         seen = [1 + sum(row[k] for row in pairs) for k in range(size)]
         # A tenth is spread evenly, so that one character never seen decides nothing alone.
         single = [0.9 * n / sum(seen) + 0.1 / size for n in seen]
-        return [(n + BACKOFF * p) / (sum(row) + BACKOFF) for row in pairs for n, p in zip(row, single)]
+        weights = [max(BACKOFF, BACKOFF_SHARE * sum(row)) for row in pairs]
+        return [(n + b * p) / (sum(row) + b) for row, b in zip(pairs, weights) for n, p in zip(row, single)]
 
     ratios = [math.log(r / p) for r, p in zip(steps(counts[True]), steps(counts[False]))]
     return ratios

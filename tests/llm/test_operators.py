@@ -210,6 +210,24 @@ def test_secret_scan(docs, none):
     assert secret_scan.find(none, secret_scan.train(secret_scan.labelled_samples(none))).count() == 0
 
 
+def test_secret_scan_of_ordinary_identifiers(spark, docs):
+    """Neither the identifiers nor the keys were met in training."""
+    ordinary = """src/main/java/com/example docs/2023/10/index 2024-01-15T10-30-00Z getUserAccountBalance
+        MAX_CONNECTION_POOL_SIZE user_id_2023_backup_v2 linux-x86_64-3-11-2 AbstractBeanFactoryImpl
+        invoice-2021-12-31-draft node_modules/lodash/package /usr/share/doc/openssl deploy_worker_pods_by_zone
+        opt/releases/2019/07/archive HttpServletResponse KUBERNETES_SERVICE_HOST v2-14-1_stable_release""".split()
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    kinds = [letters, letters + "+/", letters + "-_", letters[:26] + letters[-10:], "0123456789abcdef"]
+    keys = ["".join(rng.choice(kinds[k % 5]) for _ in range(20 + k % 3)) for k in range(300)]
+    texts = [(k, f"see {t} there") for k, t in enumerate(ordinary + keys)]
+    ratios = secret_scan.train(secret_scan.labelled_samples(docs))
+    clean = secret_scan.redact(secret_scan.find(spark.createDataFrame(texts, "doc_id long, text string"), ratios))
+    masked = {r.doc_id for r in clean.collect() if "[SECRET]" in r.text}
+    assert [t for k, t in enumerate(ordinary) if k in masked] == []
+    assert len([k for k in masked if k >= len(ordinary)]) >= 0.98 * len(keys)
+
+
 def unlike(spark, name, rows, frame):
     db = duckdb.connect()
     documents = pd.DataFrame([(r[0], r[1]) for r in rows], columns=["doc_id", "text"])  # noqa: F841
