@@ -238,7 +238,11 @@ def _confirmed(per_hundred: int):
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, per_hundred: int = PER_HUNDRED) -> DataFrame:
-    """doc_id, dk, th (the document's key), n_shingles, component_id, kept: one row for each row of docs."""
+    """doc_id, dk, th (the document's key), n_shingles, label, component_id, kept: one row for each row of docs.
+
+    label names the group (null without words); unlike component_id, its least doc_id, it is never null for two
+    groups or equal where one doc_id stands on rows of two groups.
+    """
     source = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "dk", "th", "text")
     sketches = stage(source.mapInArrow(_sketches(words, False), _SKETCH).drop("shingles"), "sketches")
     full = sketches.where("n_shingles > 0")
@@ -301,8 +305,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, per_hundred: int = PER_
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_label = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(by_label, "label").select("key", "component_id")
+    named = named.join(by_label, "label").select("key", "label", "component_id")
     found = sketches.drop("sig", "node").join(named, "key", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return found.select(*of_doc, "n_shingles", "component_id", kept.alias("kept"))
+    return found.select(*of_doc, "n_shingles", "label", "component_id", kept.alias("kept"))

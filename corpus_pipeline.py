@@ -3,10 +3,12 @@
 Every stage takes and, but for the last, returns the columns of documents, whatever else they hold; n_chars
 follows the text where it is there. An empty table gives an empty one.
 
-1. language_id drops documents without a letter and those whose language is told with a score under MIN_SCORE.
+1. language_id drops documents without a letter and those whose language is told with a score under MIN_SCORE;
+   if no row has a language to learn from, all documents with letters stay.
 2. line_dedup deletes later repeats of runs of lines; documents of which nothing is left go.
-3. near_duplicates keeps the document with the least id of each group (five words, similarity 0.8); documents
-   without words are no duplicates. Rows that repeat id and text are one document.
+3. near_duplicates keeps the document with the least id of each group (five words, similarity 0.8), of those with
+   one id or none that with the least hash of its text; documents without words are no duplicates. Rows that repeat
+   id and text are one document.
 4. secret_scan masks secrets.
 5. packing gives a row for each piece of a document: its sequence and place there.
 """
@@ -45,6 +47,8 @@ def _documents(rows: DataFrame) -> DataFrame:
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = language_id.train(docs.select("text", "lang"))
+    if not model.langs:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     found = language_id.predict(_whole(docs), model)
     kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
     return _documents(kept)
@@ -57,7 +61,10 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    kept = near_dups.near_duplicates(docs.select("doc_id", "text")).where("kept").select("dk", "th").distinct()
+    found = near_dups.near_duplicates(docs.select("doc_id", "text"))
+    found = stage(found.select("label", F.struct(F.col("doc_id").isNull().alias("no_id"), "dk", "th").alias("one")), "groups")
+    firsts = found.where("label is not null").groupBy("label").agg(F.min("one").alias("one")).select("one")
+    kept = firsts.unionByName(found.where("label is null").select("one")).select("one.dk", "one.th").distinct()
     return unpacked(with_keys(docs).join(kept, ["dk", "th"], "left_semi").dropDuplicates(["dk", "th"]))
 
 

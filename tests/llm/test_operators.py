@@ -366,3 +366,19 @@ def test_pipeline(spark, docs, none):
         if table is docs:
             by_id = {r.doc_id: r.text for r in kept.collect()}
             assert not {0, 1, 2, 3} & set(by_id) and 9 not in by_id and by_id[7] == LONG and "[SECRET]" in by_id[11]
+
+
+def test_pipeline_keeps_one_of_each_group(spark):
+    one, other, apart = sentence(800, 100), sentence(801, 100), sentence(802, 100)
+    rows = [(5, f"{one} a"), (5, f"{one} b"), (7, f"{one} c"), (5, apart), (None, f"{other} a"), (None, f"{other} b")]
+    rows += [(None, f"{sentence(803, 100)} a"), (9, f"{sentence(803, 100)} b"), (1, ""), (2, None)]
+    docs = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()]
+    groups = [rows[0:2], rows[3:4], rows[4:6], rows[7:8], rows[8:9], rows[9:]]
+    assert len(kept) == 6 and all(len(set(kept) & set(group)) == 1 for group in groups)
+
+
+def test_pipeline_without_labels(spark):
+    rows = [(1, "some words", None), (2, "12 !!", None), (3, None, None), (4, "", None), (5, "x\u00e9", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()} == {1, 5}
