@@ -10,9 +10,24 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlend.llm import ann, bpe, language_id, line_dedup, merkle, near_dups, packing, secret_scan, suffix_dedup, token_files
-from airlend.llm.common import shared_folder, ship
+from airlend.llm import (
+    ann,
+    bpe,
+    exact_search,
+    language_id,
+    line_dedup,
+    merkle,
+    near_dups,
+    packing,
+    periodic_runs,
+    product_codes,
+    secret_scan,
+    suffix_dedup,
+    token_files,
+)
+from airlend.llm.common import shared_folder, ship, stage
 from airlend.llm.sql import SQL
+from airlend.llm.vectors import whole
 
 LIBRARY_FILE = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -97,6 +112,42 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(pieces)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.select(F.col("vec_id").alias("id"), "label", whole(F.col("embedding"), 4096).alias("v"))
+    rows = stage(rows.where(F.col("v").isNotNull()), "whole-vectors")
+    codes = product_codes.ProductCodes.fit(rows)
+    found = product_codes.with_label_error(stage(codes.encode(rows), "codes"))
+    digest = F.lit(codes.sha256()).alias("codebooks_sha256")
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.select(F.col("vec_id").cast("long").alias("id"), whole(F.col("embedding"), 256).alias("v"))
+    vectors = exact_search.usable(rows)
+    return exact_search.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(periodic_runs.with_repeated_tails(_documents(spark, sf_dir)))
+    top = periodic_runs.longest(F.col("runs"))
+    found = found.withColumn("top", top).select("*", "top.*")
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
@@ -109,6 +160,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ann,
         op9_near_duplicates,
         op10_best_fit_packing,
+        op11_vector_codes,
+        op12_exact_top_k,
+        op13_periodic_runs,
     ]
     return {**{query.__name__: query for query in found}, "pipeline": corpus_pipeline.run}
 

@@ -99,4 +99,72 @@ select doc_id, length(text)::bigint as n_chars, sha256(edited) as edited_sha256,
 from parts
 """
 
-SQL = {"op1_line_dedup": OP1, "op6_merkle_fingerprints": OP6}
+
+def _product_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every part against every entry, round by round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (
+  select r, p, part, min({{'d': d, 'e': e}}) as best
+  from (select s.r, s.p, s.part, b.e,
+               list_sum(list_transform(list_zip(s.part, b.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d
+        from parts s join b{k} b using (p))
+  group by r, p, part
+)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} as (
+  select p, e, i, sum(x)::bigint as total, count(*) as n
+  from (select p, best.e as e, unnest(part) as x, generate_subscripts(part, 1) as i from a{k}) group by p, e, i
+),
+b{k + 1} as materialized (
+  select b.p, b.e, coalesce(n.entry, b.entry) as entry
+  from b{k} b left join (
+    select p, e, list((total - ((total % n) + n) % n) // n order by i) as entry from m{k} group by p, e
+  ) n using (p, e)
+)""")
+    return f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v,
+         row_number() over (order by vec_id nulls last) as r
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (
+  select r, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] as part
+  from kept, (select unnest(range({parts})) as p)
+),
+b0 as (select p, r - 1 as e, part as entry from parts where r <= {entries}),
+{",".join(steps)},
+codes as (
+  select r, string_agg(lower(printf('%02x', best.e)), '' order by p) as code, sum(best.d)::bigint as error from a{rounds} group by r
+),
+labels as (select label, sum(error)::bigint as label_error from kept join codes using (r) group by label),
+books as (select sha256(string_agg(array_to_string(entry, ','), ',' order by p, e)) as codebooks_sha256 from b{rounds})
+select k.vec_id, c.code, c.error, l.label_error, books.codebooks_sha256
+from kept k join codes c using (r) join labels l on l.label is not distinct from k.label, books
+"""
+
+
+OP12 = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scores as (
+  select q.vec_id as query_id, r.vec_id, list_dot_product(q.v, r.v)::bigint as score
+  from usable q join usable r on q.vec_id <> r.vec_id where q.vec_id % 50 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from scores qualify rank <= 5
+"""
+
+SQL = {
+    "op1_line_dedup": OP1,
+    "op6_merkle_fingerprints": OP6,
+    "op11_vector_codes": _product_codes(),
+    "op12_exact_top_k": OP12,
+}
