@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlend.operators.rolling import HEAVY_ROWS, rolling
+from airlend.operators.rolling import rolling
 
 
 def paid_per_loan(payments: DataFrame, *keys: str) -> DataFrame:
@@ -122,7 +122,7 @@ def pay_day_features(
     repayment: DataFrame,
     windows: Sequence[int],
     known_by_loan_date: bool = False,
-    heavy_rows: int | None = HEAVY_ROWS,
+    block_days: int | None = None,
 ) -> DataFrame:
     """The loans with {mean,max,min,std}_pay_days_N over the subscriber's loans of the N days before.
 
@@ -134,5 +134,5 @@ def pay_day_features(
         points, results = repayments_as_points(repayment), repayment.selectExpr(*at_loan)
     else:
         points, results = repayment.selectExpr(*at_loan, *DAY_CELLS), None
-    rolled = rolling(points, DAY_PARTIALS, windows, results=results, heavy_rows=heavy_rows)
+    rolled = rolling(points, DAY_PARTIALS, windows, results=results, block_days=block_days)
     return rolled.selectExpr(*repayment.columns, *pay_day_columns(windows))

@@ -5,46 +5,40 @@ With t the second of a loan, the frames are
     back,  [t - N days, t)
     ahead, [t, t + N days]
 
-Windows are nested, so rows are aggregated once per band between two neighbouring windows, and a window puts
-its bands together. Partial aggregates (sum, min, max) go together exactly, in any order.
-
-Subscribers with an ordinary number of rows take one window operator after one shuffle by subscriber. That
-costs rows times rows in the frame and puts a subscriber in one task, so those with more than `heavy_rows`
-rows are split by day instead:
-
-    back  = day d before second s  + days d-N+1 .. d-1 + day d-N from second s on
-    ahead = day d from second s on + days d+1 .. d+N-1 + day d+N up to second s
-
-* rows are combined per subscriber and second, on the map side before they are shuffled;
-* part days are running aggregates within a subscriber-day, at most 86,400 rows however many there were. So
-  that they exist at second s of days d-N and d+N too, empty marker rows are added there;
-* whole days are range frames over one row per subscriber and day.
-
-Both ways give the same result for exact numbers, and callers pass no others.
+Time is cut into blocks. Every row goes to its own block and to the blocks that hold loans whose windows reach it,
+so a block with its halo has all that its loans look at, and one shuffle by subscriber and block serves all windows
+of all aggregates. A subscriber is spread over as many tasks as there are blocks in the history.
+
+Within a block every frame starts at the block's edge and only its end moves, so a row enters each frame once: the
+work is rows times windows, however many rows a frame holds. A subscriber with very many rows takes the same way as
+any other.
+
+* A sum over a window is the sum up to its end less the sum up to its start.
+* Least and greatest values can't be subtracted. For a window of N days time is also cut into spans of N days. A window
+  lies in two of them: its part in the loan's own span is a running value that starts anew in each span, forwards
+  in time, and its part in the span before is one backwards in time. A value that starts anew in each span is the
+  greatest of (span, value): a later span beats all earlier ones. Whole numbers are packed with their span into one
+  BIGINT for that, which raises an error from 2^40 on (ten thousand million, in cents); other types are compared as
+  structs, which is slower.
+
+Sums are exact for exact numbers, and callers pass no others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlend.functions.columns import DAY_SECONDS
-from airlend.operators.skew import filter_by_subscribers
-from airlend.sources.tables import stage
 
-# From about here on splitting by day is cheaper than frames over all rows of a subscriber.
-HEAVY_ROWS = 2_000
-# Up to here the heavy subscribers are some megabytes and are broadcast; beyond, joined with salts.
-BROADCAST_SUBSCRIBERS = 100_000
-
-# How the pieces of a frame are put together; a piece without rows is NULL and adds nothing.
-COMBINE: Mapping[str, Callable[[list[str]], str]] = {
-    "sum": lambda pieces: " + ".join(f"coalesce({piece}, 0)" for piece in pieces),
-    "min": lambda pieces: f"least({', '.join(pieces)})" if len(pieces) > 1 else pieces[0],
-    "max": lambda pieces: f"greatest({', '.join(pieces)})" if len(pieces) > 1 else pieces[0],
-}
+#: Rows that belong to no frame are dealt to so many groups of their own.
+UNPLACED_SLOTS = 1_024
+#: Below all blocks of times that a timestamp can have.
+UNPLACED_BLOCK = -(10**9)
+#: Packed values lie between -HALF and HALF, which leaves 22 bits for spans: spans of a day in all times of a timestamp.
+HALF = 2**40
 
 
 def rolling(
@@ -54,220 +48,130 @@ def rolling(
     ahead: Sequence[str] = (),
     back: bool = True,
     results: DataFrame | None = None,
-    heavy_rows: int | None = HEAVY_ROWS,
+    block_days: int | None = None,
 ) -> DataFrame:
     """The rows with a payload: the payload's fields, `{partial}_back_{N}` and `{partial}_ahead_{N}`.
 
-    points    msisdn, epoch (seconds) and one column per partial: what the row adds to it, NULL for nothing
-    results   msisdn, epoch and payload, a struct: where aggregates are wanted, for loans that are among the
-              points. Without it the points have a payload column, NULL where none are wanted
-    partials  partial name -> 'sum', 'min' or 'max'; over no rows a sum is 0, the others are NULL
-    ahead     the partials wanted ahead
+    points     msisdn, epoch (seconds) and one column per partial: what the row adds to it, NULL for nothing
+    results    msisdn, epoch and payload, a struct: where aggregates are wanted, for loans that are among the
+               points. Without it the points have a payload column, NULL where none are wanted
+    partials   partial name -> 'sum', 'min' or 'max'; over no rows a sum is 0, the others are NULL
+    ahead      the partials wanted ahead
+    block_days length of a block, twice the longest window if None. Shorter blocks spread a subscriber over more tasks
+               and copy rows more often: a row has about 1 + reach / block_days copies, where reach is the longest
+               window, counted once for each direction
 
     Rows without subscriber or time belong to no frame. Those with a payload come back with their frames empty:
-    sums 0, the others NULL. The subscribers with more than `heavy_rows` points are found by a count over the
-    subscriber column, which runs at once; None skips it.
+    sums 0, the others NULL.
     """
     windows = sorted(set(windows))
     if windows[0] < 1:
         raise ValueError("a window has at least one day")
-    placed = "msisdn IS NOT NULL AND epoch IS NOT NULL"
     rows = points
     if results is not None:
         rows = points.unionByName(results, allowMissingColumns=True)
-    frames = _Frames(partials, windows, ahead, back)
-    whole = frames.in_one_window(rows.filter(placed))
-    unplaced = frames.empty(rows.filter(f"NOT ({placed})"), whole)
-    if heavy_rows is None:
-        return whole.unionByName(unplaced)
-
-    points, rows = points.filter(placed), rows.filter(placed)
-    heavy = points.groupBy("msisdn").agg(F.count("*").alias("n")).filter(F.col("n") > heavy_rows)
-    heavy = stage(heavy.select("msisdn"), "heavy-subscribers")
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        return whole.unionByName(unplaced)
-
-    def part(how: str) -> DataFrame:
-        if n_heavy <= BROADCAST_SUBSCRIBERS:
-            return rows.join(F.broadcast(heavy), "msisdn", how)
-        return filter_by_subscribers(rows, heavy, how)
-
-    light = frames.in_one_window(part("left_anti"))
-    return light.unionByName(frames.split_by_day(part("left_semi"))).unionByName(unplaced)
+    packed = [name for name in partials if isinstance(rows.schema[name].dataType, T.IntegralType)]
+    frames = _Frames(partials, windows, ahead, back, packed)
+    return frames.results(frames.blocked(rows, block_days or 2 * windows[-1]))
 
 
 class _Frames:
-    """The frames of one set of windows and the two ways to aggregate over them.
-
-    The many columns are SQL text: one call to the driver's JVM per projection.
-    """
+    """The frames of one set of windows. The many columns are SQL text: one call to the driver's JVM per projection."""
 
     def __init__(
-        self, partials: Mapping[str, str], windows: Sequence[int], ahead: Sequence[str], back: bool
+        self, partials: Mapping[str, str], windows: Sequence[int], ahead: Sequence[str], back: bool, packed: Sequence[str]
     ) -> None:
-        self.partials = partials
-        self.windows = windows
-        self.wanted = {"back": list(partials) if back else [], "ahead": list(ahead)}
-
-    def _combined(self) -> list[str]:
-        """The partials of rows that are already combined."""
-        return [f"{how}({name}) AS {name}" for name, how in self.partials.items()]
-
-    def _struct(self, direction: str, window: str, name: str) -> list[str]:
-        """One struct of a direction's partials over a window, none if nothing is wanted in it."""
-        cells = [f"'{n}', {self.partials[n]}({n}) OVER ({window})" for n in self.wanted[direction]]
-        return [f"named_struct({', '.join(cells)}) AS {name}"] if cells else []
-
-    def _results(self, pieces: Callable[[str, int], list[str]]) -> list[str]:
-        """Every wanted partial of every window from the structs that `pieces` names."""
-        return [
-            f"{COMBINE[self.partials[name]]([f'{piece}.{name}' for piece in pieces(direction, n)])}"
-            f" AS {name}_{direction}_{n}"
-            for direction, names in self.wanted.items()
-            for n in self.windows
-            for name in names
-        ]
-
-    def empty(self, unplaced: DataFrame, like: DataFrame) -> DataFrame:
-        """The payloads of rows that belong to no frame, with the results over no rows in the types of `like`."""
-        cells = [
-            f"CAST({0 if self.partials[name] == 'sum' else 'NULL'} AS {like.schema[column].dataType.simpleString()})"
-            f" AS {column}"
-            for direction, names in self.wanted.items()
-            for n in self.windows
-            for name in names
-            for column in [f"{name}_{direction}_{n}"]
-        ]
-        return unplaced.filter("payload IS NOT NULL").selectExpr("payload.*", *cells)
-
-    def in_one_window(self, rows: DataFrame) -> DataFrame:
-        subscriber = "PARTITION BY msisdn ORDER BY epoch RANGE BETWEEN"
-        bands = []
-        near = 0
-        for n in self.windows:
-            far = n * DAY_SECONDS
-            bands += self._struct(
-                "back", f"{subscriber} {far} PRECEDING AND {near + 1} PRECEDING", f"back_band_{n}"
-            )
-            start = f"{near + 1} FOLLOWING" if near else "CURRENT ROW"
-            bands += self._struct("ahead", f"{subscriber} {start} AND {far} FOLLOWING", f"ahead_band_{n}")
-            near = far
-        results = self._results(lambda direction, n: [f"{direction}_band_{m}" for m in self.windows if m <= n])
-        return (
-            rows.selectExpr("payload", *bands).filter("payload IS NOT NULL").selectExpr("payload.*", *results)
-        )
-
-    def split_by_day(self, rows: DataFrame) -> DataFrame:
-        seconds = self._seconds(rows)
-        results = self._results(
-            lambda direction, n: [
-                f"{direction}_own",
-                f"{direction}_edge_{n}",
-                *(f"{direction}_days_{m}" for m in self.windows if 1 < m <= n),
-            ]
-        )
-        rolled = (
-            self._part_days(seconds)
-            .join(self._whole_days(seconds), ["msisdn", "day"])
-            .filter("second <= last_second")
-            .selectExpr("msisdn", f"day * {DAY_SECONDS} + second AS epoch", *results)
-        )
-        loans = rows.filter("payload IS NOT NULL").select("msisdn", "epoch", "payload")
-        return loans.join(rolled, ["msisdn", "epoch"]).select("payload.*", *rolled.columns[2:])
-
-    def _seconds(self, rows: DataFrame) -> DataFrame:
-        """One row per subscriber and second with a row or a marker."""
-        offsets = [0]
-        if self.wanted["back"]:
-            offsets += [-n for n in self.windows]
-        if self.wanted["ahead"]:
-            offsets += list(self.windows)
-        markers = (
-            rows.filter("payload IS NOT NULL")
-            .select("msisdn", "epoch", F.explode(F.array(*map(F.lit, offsets))).alias("offset"))
-            .selectExpr(
-                "msisdn",
-                f"epoch + offset * {DAY_SECONDS}L AS epoch",
-                "offset = 0 AS is_anchor",
-                "true AS is_marker",
-            )
-        )
-        return (
-            rows.select("msisdn", "epoch", *self.partials)
-            .unionByName(markers, allowMissingColumns=True)
-            .withColumn("second", F.pmod("epoch", F.lit(DAY_SECONDS)))
-            .withColumn("day", F.expr(f"(epoch - second) div {DAY_SECONDS}"))
-            .groupBy("msisdn", "day", "second")
-            .agg(
-                *map(F.expr, self._combined()),
-                F.coalesce(F.max("is_anchor"), F.lit(False)).alias("is_anchor"),
-                F.coalesce(F.max("is_marker"), F.lit(False)).alias("is_marker"),
-            )
-            .repartition("msisdn", "day")
-        )
-
-    def _part_days(self, seconds: DataFrame) -> DataFrame:
-        """Loan seconds with the part of their own day and the parts of the days N days off."""
-        # One row per second, so row frames are exact; all start at the edge of the day and run in one pass.
-        upwards = "PARTITION BY msisdn, day ORDER BY second ROWS BETWEEN UNBOUNDED PRECEDING AND"
-        downwards = "PARTITION BY msisdn, day ORDER BY second DESC ROWS BETWEEN UNBOUNDED PRECEDING AND"
-        from_on_for = "back" if self.wanted["back"] else "ahead"
-        marked = seconds.selectExpr(
+        self.windows, self.packed = windows, packed
+        self.back = list(partials) if back else []
+        self.ahead = list(ahead)
+        used = [name for name in partials if name in self.back or name in self.ahead]
+        self.sums = [name for name in used if partials[name] == "sum"]
+        # A least value is the negated greatest of the negated values.
+        self.extremes = {name: partials[name] for name in used if partials[name] != "sum"}
+
+    def _checked(self, name: str) -> str:
+        if name not in self.extremes or name not in self.packed:
+            return name
+        return f"IF(abs({name}) < {HALF}L, {name}, IF({name} IS NULL, NULL, raise_error('too large: ' || {name})))"
+
+    def blocked(self, rows: DataFrame, block_days: int) -> DataFrame:
+        """msisdn, block, epoch, the partials and payload (in the row's own block only): one row for each block that
+        the row belongs to, all rows of a block in one task."""
+        length, reach = block_days * DAY_SECONDS, self.windows[-1] * DAY_SECONDS
+        first = f"floor((epoch - {reach if self.ahead else 0}L) / {length})"
+        last = f"floor((epoch + {reach if self.back else 0}L) / {length})"
+        placed = "(msisdn IS NOT NULL AND epoch IS NOT NULL)"
+        names = [*self.sums, *self.extremes]
+        slot = f"{UNPLACED_BLOCK}L - pmod(xxhash64(payload), {UNPLACED_SLOTS})"
+        copies = rows.filter(f"{placed} OR payload IS NOT NULL").selectExpr(
             "msisdn",
-            "day",
-            "second",
-            "is_anchor",
-            "is_marker",
-            *self._struct("back", f"{upwards} 1 PRECEDING", "before"),
-            *self._struct("ahead", f"{upwards} CURRENT ROW", "up_to"),
-            *self._struct(from_on_for, f"{downwards} CURRENT ROW", "from_on"),
-        ).filter("is_marker")
-
-        # The same second of another day is one row at most: a frame of exactly that day picks it.
-        same_second = "PARTITION BY msisdn, second ORDER BY day RANGE BETWEEN"
-        pieces = []
-        if self.wanted["back"]:
-            pieces.append("before AS back_own")
-            pieces += [
-                f"max(from_on) OVER ({same_second} {n} PRECEDING AND {n} PRECEDING) AS back_edge_{n}"
-                for n in self.windows
-            ]
-        if self.wanted["ahead"]:
-            pieces.append("from_on AS ahead_own")
-            pieces += [
-                f"max(up_to) OVER ({same_second} {n} FOLLOWING AND {n} FOLLOWING) AS ahead_edge_{n}"
-                for n in self.windows
-            ]
-        return marked.selectExpr("msisdn", "day", "second", "is_anchor", *pieces).filter("is_anchor").drop(
-            "is_anchor"
-        )
-
-    def _whole_days(self, seconds: DataFrame) -> DataFrame:
-        """Days with a loan and the bands of whole days around them."""
-        days = seconds.groupBy("msisdn", "day").agg(
-            *map(F.expr, self._combined()),
-            F.max("is_anchor").alias("is_anchor"),
-            # These two change nothing: a loan second is marked, and not after the last second of its day.
-            # With them both users of `seconds` ask its shuffle for the same columns, and Spark runs it once.
-            F.max("is_marker").alias("is_marker"),
-            F.max("second").alias("last_second"),
-        )
-        subscriber = "PARTITION BY msisdn ORDER BY day RANGE BETWEEN"
-        bands = []
-        near = 1
-        for n in self.windows:
-            # A window of one day has no whole day between its ends.
-            if n > 1:
-                bands += self._struct(
-                    "back", f"{subscriber} {n - 1} PRECEDING AND {near} PRECEDING", f"back_days_{n}"
-                )
-                bands += self._struct(
-                    "ahead", f"{subscriber} {near} FOLLOWING AND {n - 1} FOLLOWING", f"ahead_days_{n}"
-                )
-            near = n
-        return (
-            days.selectExpr("msisdn", "day", "is_anchor", "is_marker", "last_second", *bands)
-            .filter("is_anchor AND is_marker")
-            .drop("is_anchor", "is_marker")
+            f"IF({placed}, epoch, NULL) AS epoch",
+            *(f"IF({placed}, {self._checked(name)}, NULL) AS {name}" for name in names),
+            "payload",
+            f"explode(IF({placed}, sequence({first}, {last}), array({slot}))) AS block",
         )
+        own = f"epoch IS NULL OR block = floor(epoch / {length})"
+        # A copy that adds nothing and asks for nothing is not sent.
+        adds = " OR ".join(f"{name} IS NOT NULL" for name in names)
+        sent = copies.selectExpr("msisdn", "block", "epoch", *names, f"IF({own}, payload, NULL) AS payload")
+        # Dealt out here, before the many columns that the frames need are made.
+        return sent.filter(f"payload IS NOT NULL OR {adds}").repartition("msisdn", "block")
+
+    def results(self, rows: DataFrame) -> DataFrame:
+        """The payload's fields and all aggregates."""
+        forwards = "PARTITION BY msisdn, block ORDER BY epoch RANGE BETWEEN UNBOUNDED PRECEDING AND"
+        backwards = "PARTITION BY msisdn, block ORDER BY epoch DESC RANGE BETWEEN UNBOUNDED PRECEDING AND"
+
+        def sums(names: Sequence[str], end: str, name: str) -> list[str]:
+            names = [n for n in names if n in self.sums]
+            cells = [f"'{n}', sum({n}) OVER ({forwards} {end})" for n in names]
+            return [f"named_struct({', '.join(cells)}) AS {name}"] if cells else []
+
+        def extremes(frame: str, direction: str, days: int, name: str) -> list[str]:
+            cells = []
+            for n in self.extremes:
+                sign = "+" if self.extremes[n] == "max" else "-"
+                if n in self.packed:
+                    pair = f"{direction}span_{days} * {2 * HALF}L {sign} {n}"
+                else:
+                    pair = f"IF({n} IS NULL, NULL, struct({direction}span_{days} AS span, {sign}{n} AS value))"
+                cells.append(f"'{n}', max({pair}) OVER ({frame})")
+            return [f"named_struct({', '.join(cells)}) AS {name}"] if cells and self.back else []
+
+        far = {n: n * DAY_SECONDS for n in self.windows}
+        earlier = [
+            cell for n in self.windows for cell in extremes(f"{backwards} {far[n]} FOLLOWING", "-", n, f"before_{n}")
+        ]
+        pieces = [
+            *sums(self.sums, "1 PRECEDING", "upto"),
+            *(c for n in self.windows for c in sums(self.back, f"{far[n] + 1} PRECEDING", f"start_{n}")),
+            *(c for n in self.windows for c in sums(self.ahead, f"{far[n]} FOLLOWING", f"end_{n}")),
+            *(c for n in self.windows for c in extremes(f"{forwards} 1 PRECEDING", "", n, f"own_{n}")),
+        ]
+        kept = ["payload"]
+        if earlier:
+            spans = [f"floor(epoch / {days * DAY_SECONDS}) AS span_{days}" for days in self.windows]
+            rows = rows.selectExpr("*", *spans).selectExpr("*", *earlier)
+            kept += [f"{name}_{n}" for n in self.windows for name in ("span", "before")]
+        found = rows.selectExpr(*kept, *pieces)
+        cells = [self._result(n, "back", name) for n in self.windows for name in self.back]
+        cells += [self._result(n, "ahead", name) for n in self.windows for name in self.ahead]
+        return found.filter("payload IS NOT NULL").selectExpr("payload.*", *cells)
+
+    def _result(self, days: int, direction: str, name: str) -> str:
+        """SQL of one aggregate from its pieces."""
+        as_name = f"AS {name}_{direction}_{days}"
+        if name in self.sums:
+            end, start = ("upto", f"start_{days}") if direction == "back" else (f"end_{days}", "upto")
+            return f"coalesce({end}.{name}, 0) - coalesce({start}.{name}, 0) {as_name}"
+        if direction == "ahead":
+            raise ValueError(f"only sums are taken ahead, not {name}")
+
+        def value(pair: str, span: str) -> str:
+            if name not in self.packed:
+                return f"IF({pair}.span = {span}, {pair}.value, NULL)"
+            return f"IF(abs({pair} - {span} * {2 * HALF}L) < {HALF}L, {pair} - {span} * {2 * HALF}L, NULL)"
+
+        own, before = value(f"own_{days}.{name}", f"span_{days}"), value(f"before_{days}.{name}", f"(1 - span_{days})")
+        best = f"greatest({own}, {before})"
+        return f"{best} {as_name}" if self.extremes[name] == "max" else f"-{best} {as_name}"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlend.functions.columns import epoch
-from airlend.operators.rolling import HEAVY_ROWS, rolling
+from airlend.operators.rolling import rolling
 from airlend.schemas import LOAN_OP, RECHARGE_OP, SERVICE_FEE
 
 KINDS = {"loan": LOAN_OP, "spend": RECHARGE_OP}
@@ -134,7 +134,7 @@ def timeline_features(
     windows: Sequence[int],
     back: bool = True,
     ahead: bool = True,
-    heavy_rows: int | None = HEAVY_ROWS,
+    block_days: int | None = None,
 ) -> DataFrame:
     """Look-back and look-ahead features of the time line's loans, or of those among the model loans, in one
     pass over the time line."""
@@ -151,7 +151,7 @@ def timeline_features(
         AHEAD if ahead else (),
         back,
         None if model_loans is None else _results(timeline, model_loans),
-        heavy_rows,
+        block_days,
     )
     return rolled.selectExpr(
         "msisdn",
@@ -167,22 +167,22 @@ def lookback_features(
     timeline: DataFrame,
     model_loans: DataFrame | None,
     windows: Sequence[int],
-    heavy_rows: int | None = HEAVY_ROWS,
+    block_days: int | None = None,
 ) -> DataFrame:
     """Loan rows with {count,sum,mean,max,min}_{loan,spend}_N over the N days before, their own second not
     included."""
-    return timeline_features(timeline, model_loans, windows, ahead=False, heavy_rows=heavy_rows)
+    return timeline_features(timeline, model_loans, windows, ahead=False, block_days=block_days)
 
 
 def forward_features(
     timeline: DataFrame,
     model_loans: DataFrame | None,
     windows: Sequence[int],
-    heavy_rows: int | None = HEAVY_ROWS,
+    block_days: int | None = None,
 ) -> DataFrame:
     """Loan rows with future_{spend_sum,loan_sum,loan_count}_N from their own second to N days later, both
     included; the loan itself counts."""
-    return timeline_features(timeline, model_loans, windows, back=False, heavy_rows=heavy_rows)
+    return timeline_features(timeline, model_loans, windows, back=False, block_days=block_days)
 
 
 def future_spend_corrected(df: DataFrame, windows: Sequence[int], fee: float = SERVICE_FEE) -> DataFrame:

@@ -15,7 +15,7 @@ from airlend.operators import cleaning, dataset, repayment
 from airlend.operators import timeline as tl
 from airlend.operators.bursts import collapse_bursts
 from airlend.operators.cohorts import in_period
-from airlend.operators.rolling import HEAVY_ROWS, rolling
+from airlend.operators.rolling import rolling
 from airlend.sources.tables import stage
 
 
@@ -32,7 +32,7 @@ class FeatureConfig:
     burst_unit     loans within this unit of time are one loan
     known_by_loan_date, require_full_repayment   see `pay_day_features` and `repayment_targets`
     attributes     further columns of the loans that the table keeps, of a burst those of its first loan
-    heavy_rows     see `rolling`
+    block_days     see `rolling`
     """
 
     model_period: tuple[str, str]
@@ -47,7 +47,7 @@ class FeatureConfig:
     known_by_loan_date: bool = False
     require_full_repayment: bool = False
     attributes: Sequence[str] = ()
-    heavy_rows: int | None = HEAVY_ROWS
+    block_days: int | None = None
 
 
 def prepare_sources(
@@ -137,7 +137,7 @@ def build_feature_table(
             "unix_seconds(loan_ts) AS epoch",
             f"struct({', '.join(fields)}, total_paid, days_to_pay) AS payload",
         ),
-        heavy_rows=cfg.heavy_rows,
+        block_days=cfg.block_days,
     )
     paid = "days_to_pay <= {n} AND total_paid >= burst_amount" if cfg.require_full_repayment else "days_to_pay <= {n}"
     return rolled.selectExpr(

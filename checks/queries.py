@@ -313,7 +313,7 @@ QUERIES: dict[str, Query] = {
     "forward_features": lambda s, d: tl.forward_features(roles.event_timeline(s, d), None, EVENT_WINDOWS),
     "timeline_features": lambda s, d: tl.timeline_features(roles.event_timeline(s, d), None, EVENT_WINDOWS),
     "timeline_features_by_day": lambda s, d: tl.timeline_features(
-        roles.event_timeline(s, d), None, EVENT_WINDOWS, heavy_rows=0
+        roles.event_timeline(s, d), None, EVENT_WINDOWS, block_days=3
     ),
     "order_lookback_features": q_order_lookback,
     "future_spend_corrected": q_future_spend_corrected,

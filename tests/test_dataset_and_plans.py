@@ -153,7 +153,7 @@ def test_feature_table(spark):
     assert min(r.loan_ts for r in rows).date() >= date(2022, 4, 12)
     assert max(r.loan_ts for r in rows).date() < date(2022, 6, 24)
     assert any(r.burst_size == 2 and r.burst_amount == r.loan_amount + 2 for r in rows)
-    for changes in ({"heavy_rows": 0}, {"heavy_rows": 40}, {"heavy_rows": None}):
+    for changes in ({"block_days": 1}, {"block_days": 40}, {"block_days": None}):
         other = build_feature_table(*tables, config(**changes)).collect()
         assert sorted(map(str, other)) == sorted(map(str, rows))
 

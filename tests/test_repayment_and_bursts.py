@@ -32,13 +32,13 @@ def test_full_repayment(spark):
     assert (rows[1].target_7, rows[2].target_7) == (1, 0)
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 0])
-def test_pay_day_features(spark, heavy_rows):
+@pytest.mark.parametrize("block_days", [None, 1])
+def test_pay_day_features(spark, block_days):
     taken = loans(spark, [("a", i, at(10 * i), 10) for i in range(5)])
     days = {0: 1, 1: 4, 2: 9}
     paid = payments(spark, [("a", i, at(10 * i + d), 10) for i, d in days.items()])
     repaid = repayment.loan_repayment(taken, paid)
-    found = repayment.pay_day_features(repaid, [10, 40], heavy_rows=heavy_rows)
+    found = repayment.pay_day_features(repaid, [10, 40], block_days=block_days)
     rows = by(found.collect(), "loan_id")
     assert rows[0].mean_pay_days_40 is None and rows[0].std_pay_days_40 is None
     assert (rows[1].mean_pay_days_10, rows[1].std_pay_days_10) == (1.0, None)
@@ -48,12 +48,12 @@ def test_pay_day_features(spark, heavy_rows):
     assert found.columns[: len(repaid.columns)] == repaid.columns
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 0])
-def test_pay_days_known_by_the_loan_date(spark, heavy_rows):
+@pytest.mark.parametrize("block_days", [None, 1])
+def test_pay_days_known_by_the_loan_date(spark, block_days):
     taken = loans(spark, [("a", 1, at(0), 10), ("a", 2, at(5), 10), ("a", 3, at(9), 10)])
     repaid = repayment.loan_repayment(taken, payments(spark, [("a", 1, at(8), 10)]))
-    later = by(repayment.pay_day_features(repaid, [30], False, heavy_rows).collect(), "loan_id")
-    known = by(repayment.pay_day_features(repaid, [30], True, heavy_rows).collect(), "loan_id")
+    later = by(repayment.pay_day_features(repaid, [30], False, block_days).collect(), "loan_id")
+    known = by(repayment.pay_day_features(repaid, [30], True, block_days).collect(), "loan_id")
     assert later[2].mean_pay_days_30 == 8.0 and known[2].mean_pay_days_30 is None
     assert known[3].mean_pay_days_30 == 8.0
 
