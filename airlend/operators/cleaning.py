@@ -40,20 +40,59 @@ def _typed(name: str, dtype: T.DataType, source: T.DataType, truncate: bool = Fa
     return text.try_cast(dtype).alias(name)
 
 
+def _typed_columns(df: DataFrame, schema: T.StructType, truncated: Collection[str]) -> list[Column]:
+    have = {field.name: field.dataType for field in df.schema}
+    return [
+        _typed(field.name, field.dataType, have[field.name], field.name in truncated)
+        if field.name in have
+        else F.lit(None).cast(field.dataType).alias(field.name)
+        for field in schema
+    ]
+
+
 def type_template(df: DataFrame, schema: T.StructType, truncated: Collection[str] = ()) -> DataFrame:
     """Trim and cast the schema's columns in one projection; other columns are dropped, missing ones are NULL.
 
     Whole numbers named in `truncated` lose their fraction; in others a fraction makes them NULL.
     """
+    return df.select(*_typed_columns(df, schema, truncated))
+
+
+def _reason(name: str, typed: Column, dtype: T.DataType) -> Column:
+    """Why a text that is there has no value of this type: NULL if it has one, or is blank."""
+    text = F.trim(F.col(name))
+    reason = F.lit("format")
+    if isinstance(dtype, T.IntegralType):
+        exact = text.try_cast(EXACT)
+        reason = F.when(exact.isNull(), "format").when(exact != F.floor(exact), "fraction").otherwise("range")
+    elif isinstance(dtype, T.DecimalType):
+        reason = F.when(text.try_cast("double").isNull(), "format").otherwise("range")
+    return F.when((text != "") & typed.isNull(), reason)
+
+
+def type_with_rejects(df: DataFrame, schema: T.StructType, truncated: Collection[str] = ()) -> DataFrame:
+    """`type_template` with one column more, rejects: an array of (column, value, reason) of the texts that became
+    NULL because they are no value of their column's type.
+
+    The reason is 'format' (no number or time), 'fraction' (of a whole number) or 'range' (a number that does not
+    fit). Blank text is a missing value and no reject. Both outputs come from one pass if the result is staged.
+    """
     have = {field.name: field.dataType for field in df.schema}
-    return df.select(
-        *(
-            _typed(field.name, field.dataType, have[field.name], field.name in truncated)
-            if field.name in have
-            else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in schema
-        )
-    )
+    cells = []
+    for field in schema:
+        if isinstance(have.get(field.name), T.StringType) and not isinstance(field.dataType, T.StringType):
+            typed = _typed(field.name, field.dataType, have[field.name], field.name in truncated)
+            reason = _reason(field.name, typed, field.dataType)
+            cell = F.struct(F.lit(field.name).alias("column"), F.col(field.name).alias("value"), reason.alias("reason"))
+            cells.append(F.when(reason.isNotNull(), cell))
+    kind = "array<struct<column:string,value:string,reason:string>>"
+    rejects = F.array_compact(F.array(*cells)) if cells else F.array()
+    return df.select(*_typed_columns(df, schema, truncated), rejects.cast(kind).alias("rejects"))
+
+
+def rejected_values(typed: DataFrame, *keys: str) -> DataFrame:
+    """keys, column, value, reason: a row for each reject of `type_with_rejects`."""
+    return typed.filter(F.size("rejects") > 0).select(*keys, F.inline("rejects"))
 
 
 def type_ledger(df: DataFrame) -> DataFrame:

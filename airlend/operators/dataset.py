@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
@@ -29,6 +29,36 @@ def date_spans(**tables: tuple[DataFrame, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, spans)
 
 
+def spans_within(first: date, last: date, **tables: tuple[DataFrame, str]) -> dict[str, tuple[date, date]]:
+    """The days of a history that each table given as name=(df, timestamp column) was seen on: from `first` if it has
+    rows on that day or before, else from its first day, and likewise to `last`. A table that has no rows in the
+    history and does not reach over it is missing.
+
+    Whether a table reaches an edge is asked with a filter that the statistics of row groups answer for most of
+    them, and one row is enough. Only tables that do not reach both edges are read, one column.
+    """
+    edges = {"first": (None, next_day(first.isoformat())), "last": (last.isoformat(), None)}
+    probes = [
+        df.select(ts).filter(C.period(ts, *edge)).limit(1).select(F.lit(name).alias("dataset"), F.lit(side).alias("side"))
+        for name, (df, ts) in tables.items()
+        for side, edge in edges.items()
+    ]
+    met = {(row.dataset, row.side) for row in reduce(DataFrame.unionByName, probes).collect()}
+    found = {name: (first, last) for name in tables if {(name, "first"), (name, "last")} <= met}
+    others = {
+        name: (df.filter(C.period(ts, first.isoformat(), next_day(last.isoformat()))), ts)
+        for name, (df, ts) in tables.items()
+        if name not in found
+    }
+    if others:
+        for row in date_spans(**others).collect():
+            if row.min_ts is not None:
+                lo = first if (row.dataset, "first") in met else row.min_ts.date()
+                hi = last if (row.dataset, "last") in met else row.max_ts.date()
+                found[row.dataset] = (lo, hi)
+    return found
+
+
 def next_day(day: str) -> str:
     return (date.fromisoformat(day) + timedelta(days=1)).isoformat()
 
@@ -50,7 +80,19 @@ def history_span(spans: DataFrame) -> tuple[date, date]:
     empty = [row.dataset for row in rows if row.min_ts is None]
     if empty:
         raise ValueError(f"no dates in {empty}")
-    found = {row.dataset: (row.min_ts.date(), row.max_ts.date()) for row in rows}
+    return agreed_span({row.dataset: (row.min_ts.date(), row.max_ts.date()) for row in rows})
+
+
+def model_span(model_loans: DataFrame, ts: str = "loan_ts") -> dict[str, tuple[date, date]]:
+    """First and last day of the model loans, under their name."""
+    row = date_spans(model_loans=(model_loans, ts)).first()
+    if row.min_ts is None:
+        raise ValueError("no dates in ['model_loans']")
+    return {"model_loans": (row.min_ts.date(), row.max_ts.date())}
+
+
+def agreed_span(found: Mapping[str, tuple[date, date]]) -> tuple[date, date]:
+    """The days that all of `HISTORY` start and end on."""
     first, *others = (found[name] for name in HISTORY)
     if any(other != first for other in others):
         raise ValueError(f"loans, payments and recharges must start and end on the same days: {found}")
@@ -104,23 +146,32 @@ def feasible_windows(
 
 def daily_sample(features: DataFrame, ts: str = "loan_ts", amount: str = "burst_amount") -> DataFrame:
     """One row per subscriber and day: the loan at which the day's running total is largest (of several the
-    latest, then the smallest loan id), with that total and the least of each target so far.
+    latest, then the smallest loan id, then one by a hash of the row), with that total and the least of each target
+    so far.
+
+    The choice is made on narrow rows: subscriber, time, loan id, amount, targets and a hash of the whole row. The
+    features themselves are read again and joined with the chosen hashes, so they go through one shuffle and no
+    aggregate but that which leaves one of equal rows.
 
     Loans are combined per subscriber and time first, on the map side; running totals are then taken within a
     second and over the seconds of a day, so no task gets more than a million times or 86,400 seconds of one
     subscriber at once, whatever a day holds.
     """
     targets = [name for name in features.columns if name.startswith("target_")]
-    others = [name for name in features.columns if name != "loan_id"]
     so_far = Window.unboundedPreceding
+    # 128 bits of hash stand for the row.
+    row = {"_row_1": F.xxhash64(*features.columns), "_row_2": F.xxhash64(F.lit(1), *features.columns)}
 
+    narrow = features.select("msisdn", F.col(ts).alias("_ts"), "loan_id", F.col(amount).alias("_amount"), *targets, *(
+        column.alias(name) for name, column in row.items()
+    ))
     times = (
-        features.withColumns({"date": F.to_date(ts), "_second": F.date_trunc("second", ts), "_ts": F.col(ts)})
+        narrow.withColumns({"date": F.to_date("_ts"), "_second": F.date_trunc("second", "_ts")})
         .groupBy("msisdn", "date", "_second", "_ts")
         .agg(
-            F.sum(amount).alias("total"),
+            F.sum("_amount").alias("total"),
             *(F.min(name).alias(f"{name}_min") for name in targets),
-            F.min(F.struct("loan_id", *others)).alias("loan"),
+            F.min(F.struct("loan_id", *row)).alias("loan"),
         )
     )
     in_second = Window.partitionBy("msisdn", "date", "_second").orderBy("_ts").rowsBetween(so_far, 0)
@@ -158,12 +209,14 @@ def daily_sample(features: DataFrame, ts: str = "loan_ts", amount: str = "burst_
         ).alias("best"),
     )
     days = at_day.groupBy("msisdn", "date").agg(F.max("best").alias("best"))
-    return days.select(
-        *(F.col(f"best.loan.{name}") for name in features.columns),
+    chosen = days.select(
         "date",
         F.col("best.total").alias("total_loan_amount"),
         *(F.col(f"best.{name}_min") for name in targets),
+        *(F.col(f"best.loan.{name}") for name in row),
     )
+    wide = features.select("*", *(column.alias(name) for name, column in row.items()))
+    return wide.join(chosen, list(row)).dropDuplicates(list(row)).drop(*row)
 
 
 def subscriber_history(

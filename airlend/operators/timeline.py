@@ -119,12 +119,20 @@ def forward_columns(windows: Sequence[int], money: str) -> list[str]:
 
 
 def _results(timeline: DataFrame, model_loans: DataFrame) -> DataFrame:
-    """The time line's loans that are among the model loans, with the model loan's (merged) amount."""
+    """The time line's loans that are among the model loans, with the model loan's (merged) amount.
+
+    A model loan without subscriber or number can't be found in the time line; it comes back with empty frames.
+    """
     merged = "burst_amount" if "burst_amount" in model_loans.columns else "loan_amount"
-    wanted = model_loans.select("msisdn", "loan_id", F.col(merged).alias("amount")).distinct()
+    loan_ts = F.col("loan_ts") if "loan_ts" in model_loans.columns else F.lit(None).cast("timestamp")
+    model = model_loans.select("msisdn", "loan_id", loan_ts.alias("ts"), F.col(merged).alias("amount"))
+    named = "msisdn IS NOT NULL AND loan_id IS NOT NULL"
+    wanted = model.filter(named).select("msisdn", "loan_id", "amount").distinct()
     loans = timeline.filter(F.col("op") == LOAN_OP).select("msisdn", "loan_id", "ts")
-    return loans.join(wanted, ["msisdn", "loan_id"]).select(
-        "msisdn", epoch("ts").alias("epoch"), F.struct("msisdn", "loan_id", "ts", "amount").alias("payload")
+    found = loans.join(wanted, ["msisdn", "loan_id"]).withColumn("epoch", epoch("ts"))
+    unnamed = model.filter(f"NOT ({named})").withColumn("epoch", F.lit(None).cast("bigint"))
+    return found.unionByName(unnamed).select(
+        "msisdn", "epoch", F.struct("msisdn", "loan_id", "ts", "amount").alias("payload")
     )
 
 

@@ -207,8 +207,11 @@ def burst_sql(loans: str, payments: str, unit: str, more: str) -> str:
     )
 
 
-def feature_table_sql() -> str:
-    """The whole feature table over the plain order tables, with one window per feature."""
+def feature_table_sql(all_loans: bool = False) -> str:
+    """The whole feature table over the plain order tables, with one window per feature.
+
+    With `all_loans` no model loan is cut, and what was not seen to its end is NULL.
+    """
     history = ("1995-01-01", "2001-11-30")
     lo, hi = MODEL_PERIOD
     windows = ORDER_WINDOWS
@@ -219,12 +222,26 @@ def feature_table_sql() -> str:
     names = [cell.rsplit(" as ", 1)[1] for cell in line_cells]
     rounded = [f"round({n}, 6) as {n}" if n.startswith("mean_") else n for n in names]
     pay_names = [cell.rsplit(" as ", 1)[1] for cell in pay_day_cells(windows)]
+    labels, seen = targets(windows), ""
+    if all_loans:
+        days = {k: f"date_diff('day', m.loan_ts, (select {k} from horizon))" for k in ("loans", "payments", "recharges")}
+        source = {"future_spend": "recharges", "future_loan": "loans"}
+        rounded = [
+            next((f"case when {days[s]} >= {n.rsplit('_', 1)[1]} then {n} end as {n}" for p, s in source.items() if n.startswith(p)), n)
+            for n in rounded
+        ]
+        labels = [
+            f"case when days_to_pay <= {n} then 1::bigint when {days['payments']} >= {n} then 0::bigint end as target_{n}"
+            for n in windows
+        ]
+        seen = "".join(f", {sql_days} as days_seen_{name}" for name, sql_days in days.items())
+    last = f"cast(least(max({{}}), timestamp '{history[1]}') as date)"
     return sql(
         f"""select m.msisdn, m.loan_id, m.loan_ts, 1::bigint as channel_id, m.status_id, m.tier_id,
                {money('m.service_fee', 'service_fee')}, {money('m.loan_amount', 'loan_amount')},
                {money('m.burst_amount', 'burst_amount')}, {money('m.burst_fee', 'burst_fee')}, m.burst_size,
                {money('m.qualified_amount', 'qualified_amount')}, m.service_type,
-               {', '.join(rounded)}, {', '.join(pay_names)}, {', '.join(targets(windows))}
+               {', '.join(rounded)}, {', '.join(pay_names)}, {', '.join(labels)}{seen}
         from chosen_model m
         join line_features f on f.msisdn = m.msisdn and f.loan_id = m.loan_id and f.op = 'L'
         join pay_features p on p.msisdn = m.msisdn and p.loan_id = m.loan_id""",
@@ -255,9 +272,13 @@ def feature_table_sql() -> str:
         chosen=f"""
             select coalesce(max(case when s < t and n >= {MIN_ROWS} then max_window end), min(max_window)) as w
             from counted""",
-        chosen_model="""
+        horizon=f"""
+            select (select {last.format('loan_ts')} from all_loans) as loans,
+                   (select {last.format('pay_ts')} from all_payments) as payments,
+                   (select {last.format('recharge_ts')} from all_recharges) as recharges""",
+        chosen_model=f"""
             select model.* from model, counted, chosen
-            where counted.max_window = chosen.w and loan_ts >= s and loan_ts < t""",
+            where counted.max_window = chosen.w and ({str(all_loans).lower()} or loan_ts >= s and loan_ts < t)""",
         timeline=TIMELINE,
         line_features=f"""
             select msisdn, loan_id, op, {', '.join(line_cells)}
@@ -573,7 +594,22 @@ def oracle_sql() -> dict[str, str]:
             "payments",
             "recharges",
         ),
+        "rejected_values": """
+            select 'ledger' as source, 'amount' as "column", 'format' as reason, count(*) as n
+            from events where event_id % 11 = 0 having count(*) > 0
+            union all
+            select 'finance', 'chosen_amount', 'format', count(*) from orders where o_orderkey % 9 = 0 having count(*) > 0
+            union all
+            select 'advances', 'service_fee', 'format', 2 * count(*) from orders where o_orderkey % 10 = 0
+            having count(*) > 0""",
+        "sketched_months": sql(
+            """select date_trunc('month', recharge_ts)::timestamp as month, count(*) as n, true as subscribers_near,
+                   true as median_near
+            from recharges where recharge_ts is not null group by 1""",
+            "recharges",
+        ),
         "build_feature_table": feature_table_sql(),
+        "feature_table_all_loans": feature_table_sql(all_loans=True),
         "t1_monthly_loan_value": sql(
             f"""select date_trunc('month', loan_ts)::timestamp as month, count(loan_amount) as n_loans,
                {money('sum(loan_amount)', 'loan_sum')}, {mean('loan_amount')} as mean_loan

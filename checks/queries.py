@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlend import schemas as S
-from airlend.operators import bursts, cleaning, cohorts, dataset, ledger, profiles, repayment
+from airlend.operators import bursts, cleaning, cohorts, dataset, ledger, profiles, repayment, sketches
 from airlend.operators import timeline as tl
 from airlend.plans.cohort import cohort_bucket_recharges, month_period
 from airlend.plans.feature_table import FeatureConfig, build_feature_table, prepare_sources
@@ -69,6 +69,23 @@ def q_type_template(spark, d):
     return cleaning.dedupe(cleaning.type_template(cleaning.to_template(raw, S.LOAN_COLUMNS), S.LOANS))
 
 
+def q_rejected_values(spark, d):
+    """How many texts of each column could not be typed, by reason, over the three raw tables."""
+    finance = cleaning.to_template(roles.raw_finance(spark, d), S.FINANCE_COLUMNS)
+    advances = cleaning.to_template(roles.raw_advances(spark, d), S.LOAN_COLUMNS)
+    parts = [
+        cleaning.rejected_values(cleaning.type_with_rejects(df, schema, truncated))
+        .groupBy(F.lit(name).alias("source"), "column", "reason")
+        .agg(F.count("*").alias("n"))
+        for name, df, schema, truncated in (
+            ("ledger", roles.raw_ledger(spark, d), S.LEDGER, ()),
+            ("finance", finance, S.FINANCE_ADVANCES, ("chosen_amount",)),
+            ("advances", advances, S.LOANS, ()),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_csv_roundtrip(spark, d):
     """The event ledger as gzip CSV with other header names, read back by position and summed up by day."""
     folder = f"{tables.shared_folder(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
@@ -228,15 +245,15 @@ def q_feasible_windows(spark, d):
     return dataset.feasible_windows(model, spans, (1, 3, 7, 14, 21), 3, EVENT_MIN_ROWS)
 
 
-def q_build_feature_table(spark, d):
+def _feature_table(spark, d, **settings):
     cfg = FeatureConfig(
         model_period=MODEL_PERIOD,
         history=HISTORY,
         windows=ORDER_WINDOWS,
         target_days=TARGET_DAYS,
         min_rows=MIN_ROWS,
-        restrict_rows=True,
         attributes=("qualified_amount", "service_type"),
+        **settings,
     )
     features = build_feature_table(
         roles.qualified_loans(spark, d), roles.payments(spark, d), roles.recharges(spark, d), cfg
@@ -244,6 +261,35 @@ def q_build_feature_table(spark, d):
     return _rounded(features, "mean_", "std_")
 
 
+def q_build_feature_table(spark, d):
+    """The model loans that the largest window leaves, with what was seen of windows that are still open."""
+    return _feature_table(spark, d, restrict_rows=True, censor=False)
+
+
+def q_feature_table_all_loans(spark, d):
+    """All model loans, with NULL for what was not seen to its end."""
+    return _feature_table(spark, d)
+
+
+def q_sketched_months(spark, d):
+    """Months put together from the sketches of their days, beside the exact figures: how many rows, and whether the
+    estimates keep their bounds."""
+    rows = roles.recharges(spark, d).withColumn("month", F.date_trunc("month", "recharge_ts"))
+    days = sketches.daily_sketches(rows, "recharge_ts", "msisdn", "recharge_amount")
+    months = sketches.merged(days.withColumn("month", F.date_trunc("month", "day")), "month")
+    found = sketches.estimates(months, (0.5,), "month")
+    rank = F.count(F.when(F.col("recharge_amount") <= F.col("median"), 1)) / F.count("recharge_amount")
+    exact = rows.join(F.broadcast(found.select("month", F.col("amount_50").alias("median"))), "month")
+    exact = exact.groupBy("month").agg(F.count_distinct("msisdn").alias("subscribers"), rank.alias("rank"))
+    near = F.abs(F.col("n_subscribers") - F.col("subscribers")) <= sketches.SUBSCRIBER_ERROR * F.col("subscribers") + 1
+    return found.join(exact, "month").select(
+        "month",
+        "n",
+        near.alias("subscribers_near"),
+        (F.abs(F.col("rank") - 0.5) <= sketches.RANK_ERROR + 0.01).alias("median_near"),
+    )
+
+
 def q_subscriber_history(spark, d):
     return dataset.subscriber_history(
         roles.loans(spark, d), roles.payments(spark, d), roles.recharges(spark, d), SUBSCRIBERS
@@ -298,6 +344,7 @@ QUERIES: dict[str, Query] = {
         cohorts.in_period(roles.finance(s, d), "advance_ts", *month_period(M0)), "tier_id"
     ),
     "subscribers_with_amount": lambda s, d: cohorts.subscribers_with_amount(roles.finance(s, d), 20),
+    "rejected_values": q_rejected_values,
     "csv_roundtrip": q_csv_roundtrip,
     "wide_csv_ledger": q_wide_csv,
     "write_features": q_write_features,
@@ -324,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "daily_sample": lambda s, d: dataset.daily_sample(roles.sample_features(s, d), amount="loan_amount"),
     "subscriber_history": q_subscriber_history,
     "build_feature_table": q_build_feature_table,
+    "feature_table_all_loans": q_feature_table_all_loans,
     "t1_monthly_loan_value": lambda s, d: profiles.monthly_loan_value(roles.loans(s, d)),
     "t2_loans_per_subscriber_month": lambda s, d: profiles.loans_per_subscriber_month(roles.loans(s, d)),
     "t3_days_between_loans": lambda s, d: profiles.days_between_loans(roles.loans(s, d)),
@@ -335,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "t8_recharges_by_eligibility": q_recharges_by_eligibility,
     "t8_without_payments": q_events_without_payments,
     "t9_recharge_amounts": lambda s, d: profiles.recharge_amounts(roles.event_recharges(s, d)),
+    "sketched_months": q_sketched_months,
     "t10_recharges_before_loan_month": lambda s, d: profiles.recharges_before_loan_month(
         roles.loans(s, d), roles.recharges(s, d), M0
     ),

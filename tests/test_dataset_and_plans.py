@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -6,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlend.operators import dataset
-from airlend.operators import profiles
+from airlend.operators import censoring, dataset, profiles
+from airlend.operators import timeline as tl
 from airlend.plans.feature_table import FeatureConfig, build_feature_table, prepare_sources
 from airlend.sources.tables import write_features
 from tests.helpers import START, at, by, loans, money, payments, recharges, utc
@@ -132,6 +133,7 @@ def lending(spark, seed=2):
             paid.append((msisdn, i, at(day + rng.randrange(40)), 10))
     for _ in range(200):
         spent.append((f"m{rng.randrange(6)}", at(rng.randrange(90), rng.randrange(86_400)), rng.randrange(1, 30)))
+    spent.append(("m0", at(90), 1))  # the last day of the history
     return loans(spark, taken), payments(spark, paid), recharges(spark, spent)
 
 
@@ -176,8 +178,8 @@ def test_feature_table_options(spark):
     period = dataset.model_loans(tables[0], "2022-04-11", "2022-06-25")
     minutes = period.selectExpr("msisdn", "date_trunc('minute', loan_ts)").distinct().count()
     assert whole.count() == minutes
-    strict = build_feature_table(*tables, config(require_full_repayment=True)).collect()
-    loose = by(build_feature_table(*tables, config()).collect(), "msisdn", "loan_id")
+    strict = build_feature_table(*tables, config(require_full_repayment=True, censor=False)).collect()
+    loose = by(build_feature_table(*tables, config(censor=False)).collect(), "msisdn", "loan_id")
     assert all(r.target_10 <= loose[r.msisdn, r.loan_id].target_10 for r in strict)
     known = build_feature_table(*tables, config(known_by_loan_date=True))
     assert known.columns == build_feature_table(*tables, config()).columns
@@ -283,3 +285,86 @@ def test_recharges_by_a_further_column(spark):
     found = {r.eligible: r for r in profiles.recharges_per_subscriber_month(spent, "eligible").collect()}
     assert (found[1].n_subscribers, found[1].mean_amount, found[1].mean_number) == (1, 4.0, 2.0)
     assert (found[None].n_subscribers, found[None].mean_amount) == (1, 2.0)
+
+
+def test_open_windows_are_null_unless_decided(spark):
+    """A loan of 2024-05-20 in a history to 2024-06-30: 41 days were seen after it."""
+    start = date(2024, 1, 1)
+    at_day = lambda d: at((d - at().date()).days, 3600)
+    taken = [("a", 1, at_day(date(2024, 5, 20)), 5), ("b", 2, at_day(date(2024, 5, 20)), 5), ("c", 3, at_day(start), 1)]
+    taken += [("c", 4, at_day(date(2024, 6, 30)), 1)]
+    paid = [("b", 2, at_day(date(2024, 5, 25)), 5), ("c", 3, at_day(start), 1), ("c", 4, at_day(date(2024, 6, 30)), 1)]
+    spent = [("a", at_day(date(2024, 5, 21)), 3), ("c", at_day(start), 1), ("c", at_day(date(2024, 6, 30)), 1)]
+    tables = loans(spark, taken), payments(spark, paid), recharges(spark, spent)
+    cfg = FeatureConfig(
+        model_period=("2024-05-01", "2024-05-31"), history=("2024-01-01", "2024-06-30"), windows=(7, 41, 42, 60),
+        target_days=30, min_rows=1, restrict=False,
+    )
+    rows = by(build_feature_table(*tables, cfg).collect(), "msisdn")
+    assert [rows["a"][f"target_{n}"] for n in (7, 41, 42, 60)] == [0, 0, None, None]
+    assert [rows["b"][f"target_{n}"] for n in (7, 41, 42, 60)] == [1, 1, 1, 1]
+    assert [rows["a"][f"future_spend_sum_{n}"] for n in (7, 41, 42, 60)] == [3, 3, None, None]
+    assert [rows["a"][f"future_loan_count_{n}"] for n in (7, 60)] == [1, None]
+    assert rows["a"].days_seen_payments == rows["a"].days_seen_loans == rows["a"].days_seen_recharges == 41
+    plain = by(build_feature_table(*tables, replace(cfg, censor=False)).collect(), "msisdn")
+    assert plain["a"].target_60 == 0 and plain["a"].future_spend_sum_60 == 3
+    assert not any(name.startswith("days_seen") for name in build_feature_table(*tables, replace(cfg, censor=False)).columns)
+
+
+def test_a_stated_history_must_have_all_sources(spark):
+    taken, paid, spent = lending(spark)
+    with pytest.raises(ValueError, match="no recharges"):
+        build_feature_table(taken, paid, spent.limit(0), config(restrict=False))
+    with pytest.raises(ValueError, match="last recharge"):
+        build_feature_table(taken, paid, spent.filter("recharge_ts < '2022-05-01'"), config())
+    with pytest.raises(ValueError, match="first payment"):
+        build_feature_table(taken, paid.filter("pay_ts > '2022-05-01'"), spent, config())
+    with pytest.raises(ValueError, match="last loan"):
+        build_feature_table(taken.filter("loan_ts < '2022-05-01'"), paid, spent, config())
+
+
+def test_known_spans_are_used_instead_of_the_tables(spark):
+    tables = lending(spark)
+    spans = {name: HISTORY for name in ("loans", "payments", "recharges")}
+    cfg = config(restrict=False, windows=(3, 10), spans=spans)
+    found = build_feature_table(*tables, cfg).collect()
+    assert found and all(r.days_seen_loans == (date(2022, 6, 30) - r.loan_ts.date()).days for r in found)
+    with pytest.raises(ValueError, match="last payment"):
+        build_feature_table(*tables, replace(cfg, spans=spans | {"payments": ("2022-04-01", "2022-05-01")}))
+
+
+def test_spans_within_a_history(spark, tmp_path):
+    rows = [("a", k, at(k), 1) for k in range(0, 30)]
+    whole, part = loans(spark, rows), loans(spark, rows[5:20])
+    whole.write.parquet(f"{tmp_path}/loans")
+    stored = spark.read.parquet(f"{tmp_path}/loans")
+    first, last = date(2022, 4, 2), date(2022, 4, 28)
+    tables = {"whole": (stored, "loan_ts"), "part": (part, "loan_ts"), "none": (whole.limit(0), "loan_ts")}
+    assert dataset.spans_within(first, last, **tables) == {
+        "whole": (first, last),
+        "part": (date(2022, 4, 6), date(2022, 4, 20)),
+    }
+    probe = stored.select("loan_ts").filter("loan_ts >= '2022-04-02' AND loan_ts < '2022-04-03'").limit(1)
+    plan = probe._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(loan_ts), GreaterThanOrEqual" in plan and "ReadSchema: struct<loan_ts:timestamp>" in plan
+
+
+def test_censoring_of_corrected_spend(spark):
+    rows = [(at(0), 1.0, 2.0, 3.0, 0), (at(8), 1.0, 2.0, 3.0, 1)]
+    names = "loan_ts timestamp, future_spend_sum_7 double, future_loan_sum_7 double, future_spend_sum_corrected_7 double, target_7 int"
+    frame = spark.createDataFrame([(utc(r[0]), *r[1:]) for r in rows], names)
+    last = {"loans": at(10).date(), "payments": at(9).date(), "recharges": at(20).date()}
+    early, late = censoring.censored(censoring.with_days_seen(frame, last), [7]).orderBy("loan_ts").collect()
+    assert tuple(early[1:5]) == (1.0, 2.0, 3.0, 0) and tuple(early[5:]) == (10, 9, 20)
+    assert tuple(late[1:5]) == (1.0, None, None, 1)
+
+
+def test_model_loans_without_subscriber_or_number_come_back(spark):
+    taken = loans(spark, [("a", 1, at(5), 3), (None, 2, at(5), 4), ("a", None, at(6), 5)])
+    line = tl.loan_recharge_timeline(taken, recharges(spark, [("a", at(4), 9)]))
+    for look in (tl.lookback_features, tl.forward_features):
+        found = {r.amount: r for r in look(line, taken, [7]).collect()}
+        assert sorted(found) == [3, 4, 5]
+    back = {r.amount: r for r in tl.lookback_features(line, taken, [7]).collect()}
+    assert back[3].sum_spend_7 == 9 and back[4].count_spend_7 == 0 and back[5].sum_spend_7 is None
+    assert back[5].ts is not None and back[4].loan_id == 2
