@@ -111,13 +111,12 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     ordered = stage(dense_order(keys, "dk", "th"), "order")
     total = ordered.count()
     after = ordered.select(((F.col("pos") - 1 + total) % max(total, 1)).alias("pos"), "dk", "th")
-    after = after.toDF("pos", "next_dk", "next_th")
-    pairs = ordered.select("pos", "dk", "th", F.floor(F.col("n") / 4).cast("int").alias("cut")).join(after, "pos")
-    # One exchange of the texts by key serves this join and the last one, so both read the same columns.
-    nexts = texts.select(F.col("dk").alias("next_dk"), F.col("th").alias("next_th"), "text")
-    nexts = pairs.join(nexts, ["next_dk", "next_th"]).select(
-        "dk",
-        "th",
+    own = [F.col("dk").alias("own_dk"), F.col("th").alias("own_th"), F.floor(F.col("n") / 4).cast("int").alias("cut")]
+    pairs = ordered.select("pos", *own).join(after, "pos")
+    # One exchange of the texts by key serves this join and the last one: both read the same columns by the same names.
+    nexts = pairs.join(texts, ["dk", "th"]).select(
+        F.col("own_dk").alias("dk"),
+        F.col("own_th").alias("th"),
         "cut",
         F.expr("substring(text, 1, cut)").alias("begin"),
         pieces(tree(F.col("text"))).alias("next_pieces"),
