@@ -79,7 +79,6 @@ def sha(text) -> str:
 
 def ids_by_library(end: int) -> list[list[int]]:
     tokenizer = Tokenizer.from_file(LIBRARY)
-    tokenizer.encode_special_tokens = True
     return [e.ids + [end] for e in tokenizer.encode_batch([r[1] or "" for r in ROWS], add_special_tokens=False)]
 
 
