@@ -2,8 +2,8 @@
 
 Training counts the words of all labelled documents by language, and from these counts the character n-grams
 of words, with "^" and "$" at their ends. All counts are kept, as staged tables. Only the MAX_WORDS most frequent
-words and the MAX_GRAMS most frequent n-grams over all languages are sent to the executors (some 30 MB for each
-10 languages); the other words of the texts, and the n-grams of those that training has not met, are looked up
+words and the MAX_GRAMS most frequent n-grams over all languages are sent to the executors (some 45 MB for each
+10 languages, words as an Arrow array that is searched without objects for each word); the other words of the texts, and the n-grams of those that training has not met, are looked up
 by joins, so what is sent changes the work and not the result.
 
 A word of a text that the model knows is scored by its smoothed log frequency in each language. Others back
@@ -24,12 +24,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlend.llm.common import stage
 
-MAX_WORDS = 50_000
+MAX_WORDS = 400_000
 MAX_GRAMS = 100_000
 LONGEST = 4
 SMOOTHING = 0.5
@@ -105,7 +106,7 @@ def count_grams(words: DataFrame, longest: int = LONGEST) -> DataFrame:
 class Head:
     """What is sent to the executors: rows of log frequencies of the most frequent words and n-grams."""
 
-    words: dict[str, int]
+    words: pa.Array
     word_scores: np.ndarray
     grams: dict[str, int]
     gram_scores: np.ndarray
@@ -161,9 +162,20 @@ def _logs(totals: Column, distinct: int) -> Column:
     return F.zip_with("n", totals, lambda n, of: F.log((n + SMOOTHING) / (of + SMOOTHING * (distinct + 1))))
 
 
-def _most_frequent(scored: DataFrame, key: str, most: int, langs: int) -> tuple[dict[str, int], np.ndarray]:
-    rows = scored.orderBy(F.desc("total"), key).limit(most).select(key, "scores").collect()
-    return {row[0]: k for k, row in enumerate(rows)}, np.array([row[1] for row in rows]).reshape(len(rows), langs)
+def _most_frequent(scored: DataFrame, key: str, most: int, langs: int) -> tuple[pa.Array, np.ndarray]:
+    """The keys whose total lies above a bound that leaves at most `most` of them, and their scores."""
+    step = F.floor(F.log2("total") * 16).cast("int")  # some hundred steps for any number of words
+    sizes = sorted(((row["step"], row["n"]) for row in scored.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, taken = None, 0
+    for at, n in sizes:
+        if taken + n > most:
+            break
+        least, taken = at, taken + n
+    if least is None:
+        return pa.array([], pa.string()), np.zeros((0, langs))
+    table = scored.where(step >= least).select(key, "scores").toArrow()
+    scores = table["scores"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return table[key].combine_chunks().cast(pa.string()), scores.reshape(table.num_rows, langs)
 
 
 def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
@@ -183,9 +195,9 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAM
     totals_of = F.array(*[F.array(*map(F.lit, of_size.get(n, [0.0] * len(langs)))) for n in range(1, LONGEST + 1)])
     n_grams = grams.count()
     grams = grams.select("gram", "total", _logs(F.get(totals_of, size - 1), n_grams).alias("scores"))
-    head = Head(
-        *_most_frequent(words, "word", max_words, len(langs)), *_most_frequent(grams, "gram", max_grams, len(langs))
-    )
+    frequent, frequent_scores = _most_frequent(words, "word", max_words, len(langs))
+    parts, part_scores = _most_frequent(grams, "gram", max_grams, len(langs))
+    head = Head(frequent, frequent_scores, {gram: k for k, gram in enumerate(parts.to_pylist())}, part_scores)
     return Model(langs, words.drop("total"), grams.drop("total"), head, n_grams <= max_grams)
 
 
@@ -216,7 +228,8 @@ def _frequent_words(texts: DataFrame, model: Model) -> DataFrame:
                 lettered = np.array([any(map(str.isalpha, w)) for w in words], bool)
                 has = np.zeros(len(texts), bool)
                 has[of[lettered[codes]]] = True
-                row = np.fromiter((head.words.get(w, -1) for w in words), "i8", len(words))[codes]
+                names = pa.array(words, pa.string())
+                row = pc.fill_null(pc.index_in(names, value_set=head.words), -1).to_numpy()[codes]
                 met = row >= 0
                 sums, shares = (
                     np.stack([np.bincount(of[met], table[row[met], k], len(texts)) for k in range(count)], axis=1)
@@ -225,7 +238,7 @@ def _frequent_words(texts: DataFrame, model: Model) -> DataFrame:
                 cells, n = np.unique(of[~met] * max(len(words), 1) + codes[~met], return_counts=True)
                 text, word = cells // max(len(words), 1), cells % max(len(words), 1)
                 pairs = pa.StructArray.from_arrays(
-                    [pa.array(words, pa.string()).take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"]
+                    [names.take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"]
                 )
                 offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype("i4")
                 rest = pa.ListArray.from_arrays(pa.array(offsets), pairs)
