@@ -21,30 +21,28 @@ sums as (
          sum(w) over (partition by doc_id)::bigint as total
   from full_lines
 ),
-minima as (
-  select *, min({{'h': h, 'back': -r}}) over (partition by doc_id order by before range between current row and 49 following)
-           as least
+framed as (
+  select *, before + w as upto,
+         list(h) over ahead as next_lines, max(i) over ahead as last,
+         list(h) over behind as lines_before, min(i) over behind as first,
+         lead(i) over line as next_i, lead(h) over line as next_h
   from sums
-),
-prints as (
-  select distinct doc_id, -least.back as r, least.h as h from minima where total - before >= 50
-),
-firsts as (select h, min({{'doc_id': doc_id, 'r': r}}) as source from prints group by h),
-shifts as (
-  select distinct p.doc_id, f.source.doc_id as source_id, p.r - f.source.r as shift
-  from prints p join firsts f using (h)
-  where p.doc_id > f.source.doc_id or (p.doc_id = f.source.doc_id and p.r > f.source.r)
-),
-equal_lines as (
-  select s.doc_id, s.source_id, s.shift, a.i, a.w,
-         a.r - row_number() over (partition by s.doc_id, s.source_id, s.shift order by a.r) as island
-  from shifts s
-  join full_lines a on a.doc_id = s.doc_id
-  join full_lines b on b.doc_id = s.source_id and b.r = a.r - s.shift and b.h = a.h
-),
+  window line as (partition by doc_id order by r),
+         ahead as (partition by doc_id order by before range between current row and 49 following),
+         behind as (partition by doc_id order by before + w range between 49 preceding and current row)
+),
+-- The least windows of 50 words from each line on and back from each, and a line of 50 words with the one after it.
+windows as (
+  select doc_id, i as lo, last as hi, next_lines as content from framed where total - before >= 50
+  union all
+  select doc_id, first, i, lines_before from framed where upto >= 50
+  union all
+  select doc_id, i, next_i, [h, next_h] from framed where w >= 50 and next_i is not null
+),
+firsts as (select content, min({{'doc_id': doc_id, 'lo': lo}}) as source from windows group by content having count(*) > 1),
 runs as (
-  select doc_id, min(i) as lo, max(i) as hi from equal_lines
-  group by doc_id, source_id, shift, island having sum(w) >= 50
+  select distinct w.doc_id, w.lo, w.hi from windows w join firsts f using (content)
+  where w.doc_id > f.source.doc_id or (w.doc_id = f.source.doc_id and w.lo > f.source.lo)
 ),
 gone as (select distinct l.doc_id, l.i from lines l join runs r on l.doc_id = r.doc_id and l.i between r.lo and r.hi),
 rest as (
