@@ -5,7 +5,7 @@ of random strings and one of ordinary identifiers, give a candidate's log-likeli
 more it is a `markov` span, unless it overlaps a pattern's span or is a number. The models are counts of character pairs in
 labelled samples (token, random), backed off to single characters where little was seen. `labelled_samples` makes
 such samples. Random ones are keys written in hex, base 64 (both alphabets) and upper case. Ordinary ones are the words of up to
-SAMPLE_DOCS documents, those with the least hash of their id, without what the patterns match, and identifiers
+SAMPLE_DOCS documents, those with the least hash of id and text, without what the patterns match, and identifiers
 made of these words and of NAMES: paths, camel case, upper snake, hyphenated, with dates, versions and numbers;
 only this fit is bounded, every text is scanned as a whole.
 
@@ -17,10 +17,13 @@ handled one by one, so repeated rows repeat; all columns are kept.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlend.llm.common import stage
+
 #: Fixed patterns and the length that a match (or its group) must have.
 PATTERNS = {
     "assign": (
@@ -68,41 +71,79 @@ visible volume warning watch weight widget width window worker wrapper write xml
 """.split()
 MARK = "[SECRET]"
 
-_SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+#: Elements that a pass over an array gathers at a time, and characters of a text that are cut out at a time.
+GATHERED, CUT_CHARS = 256, 1_024
+
+_SPAN = "struct<start:int,rank:int,end:int,kind:string>"
+_TOKEN = "struct<start:int,rank:int,end:int,kind:string,token:string>"
 _CANDIDATE = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}"
 
 
+def _scanned(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """The state and the found elements (of type `kind`; nulls are left out) of a pass over an array.
+
+    `step` gives the next state and an element. Elements are gathered GATHERED at a time, so that a pass over very many of
+    them does not copy them again for each.
+    """
+    none, nested = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def one(state: Column, item: Column) -> Column:
+        following, element = step(state["state"], item)
+        few = F.when(element.isNull(), state["few"]).otherwise(F.concat(state["few"], F.array(element)))
+        full = F.size(state["few"]) >= GATHERED
+        return F.struct(
+            following.alias("state"),
+            F.when(full, F.array_compact(F.array(element))).otherwise(few).alias("few"),
+            F.when(full, F.concat(state["all"], F.array(state["few"]))).otherwise(state["all"]).alias("all"),
+        )
+
+    done = lambda s: F.struct(s["state"].alias("state"), F.flatten(F.concat(s["all"], F.array(s["few"]))).alias("found"))
+    return F.aggregate(items, F.struct(start.alias("state"), none.alias("few"), nested.alias("all")), one, done)
+
+
 def _matches(text: Column, pattern: str, group: int, least: int, kind: str, rank: int) -> Column:
-    """Spans of the leftmost non-overlapping matches whose group has at least `least` characters."""
+    """Spans, with what they cover, of the leftmost non-overlapping matches whose group has at least `least` characters."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    # The last element is the text after the last match: it has no match and gives no span.
     between = F.transform(F.split(text, pattern, -1), F.length)
-    lengths = F.transform(whole, F.length)
-    pairs = F.zip_with(between, lengths, lambda gap, n: F.struct(gap.alias("gap"), n.alias("n")))
-    # The last element is the text after the last match.
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("found"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
-        end = begin + F.coalesce(pair["n"], F.lit(0))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        found = F.when(pair["n"].isNull(), state["found"]).otherwise(
-            F.concat(F.coalesce(state["found"], F.array().cast("array<struct<start:int,end:int>>")), one)
-        )
-        return F.struct(end.alias("at"), found.alias("found"))
-
-    places = F.coalesce(F.aggregate(pairs, start, step)["found"], F.array().cast("array<struct<start:int,end:int>>"))
-    kept = F.filter(
-        F.zip_with(places, part, lambda p, g: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.length(g).alias("n"))),
-        lambda x: x["n"] >= least,
+    triples = F.zip_with(
+        between,
+        F.zip_with(whole, part, lambda w, g: F.struct(w.alias("token"), F.length(g).alias("size"))),
+        lambda gap, found: F.struct(gap.alias("gap"), found.alias("found")),
     )
-    spans = F.transform(
-        kept,
-        lambda x: F.struct(
-            x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind")
-        ),
-    ).cast(_SPAN)
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
+
+    def step(at: Column, triple: Column) -> tuple[Column, Column]:
+        token = triple["found"]["token"]
+        begin = at + triple["gap"]
+        end = begin + F.coalesce(F.length(token), F.lit(0))
+        names = {"start": begin, "rank": F.lit(rank), "end": end, "kind": F.lit(kind), "token": token}
+        span = F.struct(*[column.alias(name) for name, column in names.items()]).cast(_TOKEN)
+        return end, F.when(triple["found"]["size"] >= least, span)
+
+    spans = _scanned(triples, F.lit(0), step, _TOKEN)["found"]
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{_TOKEN}>"))
+
+
+def _span(token: Column) -> Column:
+    return F.struct(*[token[name].alias(name) for name in ("start", "rank", "end", "kind")])
+
+
+def _free(base: Column, tokens: Column) -> Column:
+    """The tokens that overlap no span of base: one pass over both by start, and one back."""
+    ranks = len(PATTERNS)
+
+    def ahead(reach: Column, x: Column) -> tuple[Column, Column]:
+        own = x["rank"] < ranks
+        return F.when(own, F.greatest(reach, x["end"])).otherwise(reach), F.when(own | (x["start"] >= reach), x)
+
+    def back(least: Column, x: Column) -> tuple[Column, Column]:
+        own = x["rank"] < ranks
+        return F.when(own, F.least(least, x["start"])).otherwise(least), F.when(~own & (x["end"] <= least), x)
+
+    every = F.array_sort(F.concat(base, F.transform(tokens, _span)))
+    one_way = _scanned(every, F.lit(0), ahead, _SPAN)["found"]
+    return F.reverse(_scanned(F.reverse(one_way), F.lit(2**31 - 1), back, _SPAN)["found"])
 
 
 def _identifiers(rows: DataFrame) -> DataFrame:
@@ -146,13 +187,16 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
         F.lit(True).alias("random"),
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    chosen = docs.select(F.xxhash64("doc_id").alias("at"), text.alias("text")).orderBy("at", F.xxhash64("text")).limit(SAMPLE_DOCS)
+    rows = docs.select(text.alias("text"), F.xxhash64(docs["doc_id"], text).alias("at"))
+    # At most SAMPLE_DOCS numbers of each task and in all; then the texts, from where they lie.
+    least = rows.select("at").distinct().orderBy("at").limit(SAMPLE_DOCS)
+    chosen = rows.join(F.broadcast(least), "at", "left_semi").dropDuplicates(["at"])
     clear = F.col("text")
     for pattern, _, _ in PATTERNS.values():
         clear = F.regexp_replace(clear, pattern, " ")
     # Words of letters and low lines only: what has digits may be a secret.
     words = F.regexp_extract_all(clear, F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_-])"), F.lit(0))
-    chosen = chosen.select(words.alias("words"))
+    chosen = stage(chosen.select(words.alias("words")), "sample_words")
     threes = F.transform(
         F.filter(F.transform("words", lambda _, k: k), lambda k: (k % 3 == 0) & (k + 2 < F.size("words"))),
         lambda k: F.struct(*[F.get("words", k + n).alias(name) for n, name in enumerate("abc")], k.alias("r")),
@@ -191,11 +235,14 @@ def train(samples: DataFrame) -> list[float]:
 def ratio(token: Column, ratios: list[float]) -> Column:
     """The log-likelihood ratio of a token over ALPHABET."""
     table = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, 1)) - 1
-    steps = F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1), lambda i: F.get(table, code(i) * len(ALPHABET) + code(i + 1))
-    )
-    return F.aggregate(steps, F.lit(0.0), lambda total, x: total + x)
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+    def step(state: Column, code: Column) -> Column:
+        # The first character follows none.
+        more = F.when(state["last"] < 0, 0.0).otherwise(F.get(table, state["last"] * len(ALPHABET) + code))
+        return F.struct((state["sum"] + more).alias("sum"), code.alias("last"))
+
+    return F.aggregate(codes, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last")), step, lambda s: s["sum"])
 
 
 def find(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) -> DataFrame:
@@ -203,17 +250,14 @@ def find(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) ->
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("t", text)
     for rank, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
-        rows = rows.withColumn(kind, _matches(F.col("t"), pattern, group, least, kind, rank))
+        rows = rows.withColumn(kind, F.transform(_matches(F.col("t"), pattern, group, least, kind, rank), _span))
     rows = rows.withColumn("base", F.array_sort(F.concat(*PATTERNS)))
-    rows = rows.withColumn("candidates", _matches(F.col("t"), _CANDIDATE, 0, MIN_LENGTH, METHOD, len(PATTERNS)))
-    free = F.filter(
-        "candidates",
-        lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    token = lambda c: F.col("t").substr(c["start"] + 1, c["end"] - c["start"])
     # Digits alone are a number, not a key.
-    added = F.filter(free, lambda c: token(c).rlike("[A-Za-z]") & (ratio(token(c), ratios) >= threshold))
-    rows = rows.withColumn("added", F.when(F.size("candidates") > 0, added).otherwise(F.col("candidates")))
+    random = lambda c: c["token"].rlike("[A-Za-z]") & (ratio(c["token"], ratios) >= threshold)
+    tokens = _matches(F.col("t"), _CANDIDATE, 0, MIN_LENGTH, METHOD, len(PATTERNS))
+    rows = rows.withColumn("random", F.filter(tokens, random))
+    added = F.when(F.size("random") > 0, _free(F.col("base"), F.col("random"))).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    rows = rows.withColumn("added", added)
     names = [c for c in docs.columns if c not in ("base", "spans")]
     spans = F.array_sort(F.concat("base", "added")).alias("spans")
     return rows.select(*[F.col("row")[c].alias(c) for c in names], "base", spans)
@@ -228,18 +272,21 @@ def written(spans: Column) -> Column:
 def redact(found: DataFrame, mark: str = MARK) -> DataFrame:
     """Texts with MARK for every span (one for those that overlap); `base` and `spans` are dropped."""
     text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, span: Column) -> Column:
-        apart = span["start"] >= state["at"]
-        gap = F.concat(state["out"], text.substr(state["at"] + 1, span["start"] - state["at"]), F.lit(mark))
-        first = (state["at"] == 0) & (state["out"] == "")
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(apart | first, gap).otherwise(state["out"]).alias("out"),
-        )
+    def step(at: Column, span: Column) -> tuple[Column, Column]:
+        before = F.struct(at.alias("start"), span["start"].alias("end"))
+        return F.greatest(at, span["end"]), F.when(span["start"] >= at, before)
+
+    def piece(start: Column, end: Column) -> Column:
+        first, last = (F.floor(x / CUT_CHARS).cast("int") for x in (start, end))
+        near = F.array_join(F.slice("_cut", first + 1, last - first + 1), "")
+        return near.substr(start - first * CUT_CHARS + 1, end - start)
 
-    done = F.aggregate("spans", start, step)
-    rest = text.substr(done["at"] + 1, F.length(text))
-    masked = F.when(F.size("spans") > 0, F.concat(done["out"], rest)).otherwise(text)
-    return found.withColumn("text", masked).drop("base", "spans")
+    # A piece is cut out of the few parts that it lies in, not of the whole text.
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT_CHARS}}}"), F.lit(0))
+    rows = found.withColumn("_apart", F.when(F.size("spans") > 0, _scanned(F.col("spans"), F.lit(0), step, "struct<start:int,end:int>")))
+    rows = rows.withColumn("_cut", F.when(F.size("spans") > 0, cut))
+    kept = F.transform("_apart.found", lambda x: F.concat(piece(x["start"], x["end"]), F.lit(mark)))
+    masked = F.concat(F.array_join(kept, ""), piece(F.col("_apart.state"), F.length(text)))
+    masked = F.when(F.size("spans") > 0, masked).otherwise(text)
+    return rows.withColumn("text", masked).select(*[c for c in found.columns if c not in ("base", "spans")])

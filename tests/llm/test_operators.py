@@ -227,6 +227,33 @@ def test_secret_scan_of_ordinary_identifiers(spark, docs):
     assert len([k for k in masked if k >= len(ordinary)]) >= 0.98 * len(keys)
 
 
+def test_secret_scan_of_a_text_with_very_many_candidates(spark, docs):
+    """Also tokens that overlap base spans at either end or at both, and one very long token."""
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n=20: "".join(rng.choice(letters) for _ in range(n))
+    cut = [f"{key()}password={key()}", f"{key()}{'ab12' * 8}", f"{'ab12' * 8}{key()}", f"{key()}{'0f3e' * 8}{key()}"]
+    long = " ".join([f"{key()} word" for _ in range(700)] + cut + [key(5_000)])
+    texts = [(0, long), (1, " ".join(cut)), (2, f"{key()}\n{key()} token: {key()}\U0001F600 {key()}")]
+    ratios = secret_scan.train(secret_scan.labelled_samples(docs))
+    found = secret_scan.find(spark.createDataFrame(texts, "doc_id long, text string"), ratios)
+    rows = {r.doc_id: r for r in found.collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(found).collect()}
+    for doc, text in texts:
+        base = [(x.start, x.end) for x in rows[doc].base]
+        tokens = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_-]{16,}", text)]
+        free = {t for t in tokens if not any(a < t[1] and t[0] < b for a, b in base)}
+        spans = [(x.start, x.end) for x in rows[doc].spans]
+        assert set(spans) - set(base) <= free and len(spans) >= len(base) + 0.95 * len(free)
+        out, at = "", 0
+        for a, b in spans:
+            if a >= at:
+                out += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert clean[doc] == out + text[at:]
+    assert len(rows[0].spans) > 690 and len(rows[2].spans) == 4
+
+
 def unlike(spark, name, rows, frame):
     db = duckdb.connect()
     documents = pd.DataFrame([(r[0], r[1]) for r in rows], columns=["doc_id", "text"])  # noqa: F841
