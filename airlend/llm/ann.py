@@ -3,8 +3,11 @@
 Fitting looks at up to SAMPLE vectors, those with the least hash of their id: their graph of GRAPH_NEIGHBOURS
 nearest neighbours is cut into parts of equal size by repeated spectral bisection, and a softmax classifier
 learns to tell a vector's part. Every vector is then indexed in its most probable part. A query is routed to its
-most probable parts until they hold MASS of its probability, and its candidates there are reranked by cosine
-in double precision. There is about one part for ROWS_PER_PART vectors.
+most probable parts until they hold a mass of its probability, and its candidates there are reranked by cosine
+in double precision. The mass is the least that finds FOUND of the sample's own neighbours: where vectors lie in
+clusters it is small and few parts are looked at. Neighbours in the sample lie farther off than those among all
+vectors, so the latter are found no less often. Parts are added for queries whose parts hold fewer than k others.
+There is about one part for ROWS_PER_PART vectors.
 
 Parts are dealt out in blocks of vectors and of queries, so that a part that holds very many equal vectors is
 no larger a task than any other. `Index.search` returns the k best of each query, ties to the smaller id.
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 SAMPLE = 8_192
 GRAPH_NEIGHBOURS = 10
 ROWS_PER_PART = 4_096
-MASS = 0.93
+#: The share of the sample's neighbours that the parts looked at have to hold.
+FOUND = 0.95
 BLOCK = 4_096
 QUERY_BLOCK = 1_024
 
@@ -98,6 +102,22 @@ def fit_classifier(unit: np.ndarray, part: np.ndarray, parts: int) -> np.ndarray
     return weights
 
 
+def least_mass(unit: np.ndarray, near: np.ndarray, weights: np.ndarray, found: float, k: int = 5) -> float:
+    """The least mass of probability at which the parts of a vector hold `found` of its k nearest."""
+    p = _softmax(np.hstack([unit, np.ones((len(unit), 1))]) @ weights)
+    cosines = np.stack([(unit[column] * unit).sum(axis=1) for column in near.T], axis=1)
+    nearest = np.take_along_axis(near, np.argsort(-cosines, axis=1, kind="stable")[:, :k], 1)
+    own = p.argmax(axis=1)[nearest]
+    order = np.argsort(-p, axis=1, kind="stable")
+    sums = np.cumsum(np.take_along_axis(p, order, 1), axis=1)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.broadcast_to(np.arange(p.shape[1]), p.shape), 1)
+    # A part is looked at if those before it hold less than the mass.
+    sums = np.hstack([np.zeros((len(unit), 1)), sums])
+    before = np.take_along_axis(sums, np.take_along_axis(rank, own, 1), 1)
+    return float(np.nextafter(np.quantile(before, found, method="higher"), 2.0))
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -106,8 +126,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 class Index:
     """Fitted on `vectors` (id, v of `usable`)."""
 
-    def __init__(self, vectors: DataFrame, rows_per_part: int = ROWS_PER_PART, mass: float = MASS):
-        self.mass = mass
+    def __init__(self, vectors: DataFrame, rows_per_part: int = ROWS_PER_PART, found: float = FOUND):
         chosen = vectors.orderBy(F.xxhash64("id"), "id", "v").limit(SAMPLE).collect()
         lengths = pd.Series([len(row["v"]) for row in chosen], dtype=int)
         self.length = int(lengths.mode().min()) if len(lengths) else 0
@@ -118,25 +137,33 @@ class Index:
         while parts * rows_per_part < rows and parts * 16 <= len(sample):
             parts *= 2
         self.weights = np.zeros((self.length + 1, parts))
+        self.mass = 1.0
         if parts > 1:
             unit = _unit(sample)
-            self.weights = fit_classifier(unit, balanced_parts(neighbour_graph(unit, GRAPH_NEIGHBOURS), parts), parts)
+            near = neighbour_graph(unit, GRAPH_NEIGHBOURS)
+            self.weights = fit_classifier(unit, balanced_parts(near, parts), parts)
+            self.mass = least_mass(unit, near, self.weights, found)
 
-    def routed(self, vectors: DataFrame, several: bool) -> DataFrame:
-        """id, v, part: the most probable part, or a row for each part that a query looks at."""
-        shared = vectors.sparkSession.sparkContext.broadcast(self.weights)
-        length, mass = self.length, self.mass if several else 0.0
+    def routed(self, vectors: DataFrame, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+        """id, v, part: the most probable part, or, given the sizes of the parts, a row for each part that a query
+        looks at: so many that they hold the mass and at least `least` vectors."""
+        shared = vectors.sparkSession.sparkContext.broadcast((self.weights, sizes))
+        length, mass = self.length, 0.0 if sizes is None else self.mass
 
         def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not len(batch):
                     continue
                 unit = _unit(batch["v"].flatten().to_numpy().reshape(-1, length))
-                p = _softmax(np.hstack([unit, np.ones((len(unit), 1))]) @ shared.value)
+                weights, sizes = shared.value
+                p = _softmax(np.hstack([unit, np.ones((len(unit), 1))]) @ weights)
                 order = np.argsort(-p, axis=1, kind="stable")
                 before = np.cumsum(np.take_along_axis(p, order, 1), axis=1) - np.take_along_axis(p, order, 1)
                 before[:, 0] = -1
-                row, rank = np.nonzero(before < mass)
+                wanted = before < mass
+                if sizes is not None:
+                    wanted |= np.cumsum(sizes[order], axis=1) - sizes[order] < least
+                row, rank = np.nonzero(wanted)
                 taken = batch.take(pa.array(row))
                 columns = [*taken.columns, pa.array(order[row, rank].astype("i4"))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "part"])
@@ -146,13 +173,19 @@ class Index:
     def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
         """query_id, rank (from 1), vec_id, score for `queries` (id, v of `usable`)."""
         queries = queries.where(F.size("v") == self.length).groupBy("id").agg(F.min("v").alias("v"))
-        placed, asked = self.routed(self.vectors, False), self.routed(queries, True)
+        placed = self.routed(self.vectors)
 
         # One row for each part.
         def counts(rows: DataFrame, size: int) -> dict[int, int]:
             return {row["part"]: -(-row["count"] // size) for row in rows.groupBy("part").count().collect()}
 
-        blocks, query_blocks = counts(placed, BLOCK), counts(asked, QUERY_BLOCK)
+        sizes = np.zeros(self.weights.shape[1], int)
+        for part, n in counts(placed, 1).items():
+            sizes[part] = n
+        # Rows with an id that stands on many are no candidates of its query, so the largest such group counts as well.
+        repeated = self.vectors.groupBy("id").count().agg(F.max("count")).first()[0] or 0
+        asked = self.routed(queries, sizes, k + repeated)
+        blocks, query_blocks = {part: -(-int(n) // BLOCK) for part, n in enumerate(sizes) if n}, counts(asked, QUERY_BLOCK)
         table = [(part, n, query_blocks[part]) for part, n in blocks.items() if part in query_blocks]
 
         def blocked() -> DataFrame:
