@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +88,41 @@ def dense_order(df: DataFrame, *by: str) -> DataFrame:
     return placed.withColumn("pos", F.col("_first") + within).drop("_range", "_at", "_first")
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a worker keeps under this name from task to task, until a task of `lean` work ends."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def give_back() -> None:
+    """Give the worker's free memory back to the machine: Arrow's and the C library's, if it can."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`work` for mapInArrow that leaves a reused worker small, whatever it and earlier tasks held.
+
+    Workers wait idle beside the executor's own memory while later stages run, so what they keep counts there.
+    """
+
+    def lean_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return lean_work
+
+
+_KEPT: dict[str, object] = {}
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, unless they are started where they find it."""
     root = Path(__file__).resolve().parents[2]

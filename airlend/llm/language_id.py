@@ -25,10 +25,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlend.llm.common import stage
+from airlend.llm.common import lean, stage
 
 MAX_WORDS = 400_000
 MAX_GRAMS = 100_000
@@ -36,7 +37,7 @@ LONGEST = 4
 SMOOTHING = 0.5
 UNDETERMINED = "und"
 #: Characters of text handled at once.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _COUNTS = "lang string, word string, n long"
@@ -84,7 +85,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """lang, word, n over all labelled rows; docs has text and lang."""
     rows = docs.select(docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    return rows.mapInArrow(_word_counts, _COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(lean(_word_counts), _COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def count_grams(words: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -212,9 +213,8 @@ def _shares(scores: np.ndarray) -> np.ndarray:
     return share / share.sum(axis=1, keepdims=True)
 
 
-def _frequent_words(texts: DataFrame, model: Model) -> DataFrame:
+def _frequent_words(texts: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
     """k1, k2, sums and shares over the words of the head, size, has (a letter), rest: the other words, how often."""
-    shared = texts.sparkSession.sparkContext.broadcast(model.head)
     count = len(model.langs)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,14 +248,13 @@ def _frequent_words(texts: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "sums", "shares", "size", "has", "rest"])
 
     schema = "k1 long, k2 int, sums array<double>, shares array<double>, size long, has boolean, rest array<struct<word:string,n:long>>"
-    return stage(texts.mapInArrow(scored, schema), "frequent").dropDuplicates(["k1", "k2"])
+    return stage(texts.mapInArrow(lean(scored), schema), "frequent").dropDuplicates(["k1", "k2"])
 
 
-def _word_scores(words: DataFrame, model: Model) -> DataFrame:
+def _word_scores(words: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
     """word, scores of distinct words: those of the model, or else from n-grams."""
     found = stage(words.join(model.words, "word", "left"), "looked_up")
     unseen = found.where(F.col("scores").isNull()).select("word")
-    shared = words.sparkSession.sparkContext.broadcast(model.head)
     count = len(model.langs)
 
     def rare_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +282,10 @@ def _word_scores(words: DataFrame, model: Model) -> DataFrame:
     if model.all_grams:
         rows = unseen.withColumn("rare", F.lit(None).cast("array<struct<gram:string,scores:array<double>>>"))
     else:
-        parts = unseen.mapInArrow(rare_parts, "word string, gram string").join(model.grams, "gram")
+        parts = unseen.mapInArrow(lean(rare_parts), "word string, gram string").join(model.grams, "gram")
         parts = parts.groupBy("word").agg(F.collect_list(F.struct("gram", "scores")).alias("rare"))
         rows = unseen.join(parts, "word", "left")
-    backed = rows.mapInArrow(scored, "word string, scores array<double>")
+    backed = rows.mapInArrow(lean(scored), "word string, scores array<double>")
     return found.where(F.col("scores").isNotNull()).unionByName(backed)
 
 
@@ -300,9 +299,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     # What is predicted depends on the text alone, so texts are keyed by 96 bits of hash.
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.hash("text")})
-    texts = _frequent_words(rows.select("k1", "k2", "text"), model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.head)
+    texts = _frequent_words(rows.select("k1", "k2", "text"), model, shared)
     rest = texts.select("k1", "k2", F.explode("rest").alias("x")).select("k1", "k2", "x.word", "x.n")
-    scores = _word_scores(rest.select("word").distinct(), model)
+    scores = _word_scores(rest.select("word").distinct(), model, shared)
     powers = F.transform("scores", lambda x: F.exp(x - F.array_max("scores")))
     scores = scores.withColumn("powers", powers)
     total = F.aggregate("powers", F.lit(0.0), lambda a, x: a + x)
@@ -324,4 +324,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     lang = F.when(F.col("has"), F.element_at(langs, best)).otherwise(UNDETERMINED)
     score = F.when(F.col("has"), F.element_at("shares", best) / F.col("size")).otherwise(0.0)
     told = stage(texts.select("k1", "k2", lang.alias("lang_pred"), score.alias("score")), "languages")
+    shared.unpersist()  # all that reads it is staged
     return rows.drop("text").join(told, ["k1", "k2"], "left").select(*columns, "lang_pred", "score")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlend.llm.common import keyed, stage
+from airlend.llm.common import keyed, lean, stage
 from airlend.llm.components import components
 
 WORDS = 5
@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, per_hundred: int = PER_
     groups or equal where one doc_id stands on rows of two groups.
     """
     source = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "dk", "th", "text")
-    sketches = stage(source.mapInArrow(_sketches(words, False), _SKETCH).drop("shingles"), "sketches")
+    sketches = stage(source.mapInArrow(lean(_sketches(words, False)), _SKETCH).drop("shingles"), "sketches")
     full = sketches.where("n_shingles > 0")
     of_doc = ["doc_id", "dk", "th"]
     classes = full.groupBy("key", "node").agg(
@@ -252,26 +252,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, per_hundred: int = PER_
     )
     classes = stage(classes, "classes")
 
-    buckets = classes.select("node", "sig").mapInArrow(_buckets, "bucket long, band int, node long")
+    buckets = classes.select("node", "sig").mapInArrow(lean(_buckets), "bucket long, band int, node long")
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
     crowded = stage(buckets.join(hubs.drop("n"), "bucket"), "crowded")
     # The sets of all nodes that share a bucket, made once.
     wanted = classes.join(crowded.select("node").distinct(), "node", "left_semi").select("one.dk", "one.th")
     texts = source.join(wanted, ["dk", "th"], "left_semi").dropDuplicates(["dk", "th"])
-    sets = texts.select(*of_doc, "text").mapInArrow(_sketches(words, True), _SKETCH).select("node", "shingles")
+    sets = texts.select(*of_doc, "text").mapInArrow(lean(_sketches(words, True)), _SKETCH).select("node", "shingles")
     sets = stage(sets, "sets")
 
     sigs, least = classes.select("node", "sig"), least_equal(per_hundred)
 
     def surviving(pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-        return pairs.mapInArrow(_not_pruned(least), "a long, b long")
+        return pairs.mapInArrow(lean(_not_pruned(least)), "a long, b long")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Of the surviving pairs (a, b) those that are links."""
         pairs = stage(pairs, "survivors")
         pairs = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
-        return stage(pairs.mapInArrow(_confirmed(per_hundred), "a long, b long"), "links")
+        return stage(pairs.mapInArrow(lean(_confirmed(per_hundred)), "a long, b long"), "links")
 
     def mixed(links: DataFrame) -> DataFrame:
         """bucket, node, label, main (the commonest label) of the buckets that hold several components."""

@@ -13,7 +13,6 @@ import gc
 import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from airlend.llm.common import kept
+
 #: Parts in each of two generations that a worker remembers; bounds its memory, not the results.
 KEPT_PARTS = 250_000
 
@@ -262,10 +263,9 @@ class LibraryEncoder:
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), buffers)
 
 
-@lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
-    """The tokenizers library's ids under the file at `path`; one for each worker process."""
-    return LibraryEncoder(path)
+    """The tokenizers library's ids under the file at `path`; one for each worker process, until other work comes."""
+    return kept(f"library {path}", lambda: LibraryEncoder(path))
 
 
 def ids_of(text_bytes: bytes) -> np.ndarray:
