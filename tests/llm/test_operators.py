@@ -379,6 +379,17 @@ def test_ann(spark):
     assert ann.Index(empty).search(empty).count() == 0
 
 
+def test_ann_looks_on_where_parts_hold_too_few(spark):
+    rng = np.random.default_rng(6)
+    vectors = (rng.standard_normal((4, 1, 8)) * 20 + rng.standard_normal((4, 10, 8))).reshape(40, 8)
+    rows = ann.usable(spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>"))
+    index = ann.Index(rows, rows_per_part=8)
+    assert index.weights.shape[1] == 4
+    found = index.search(rows.where("id % 10 = 0"), k=30).toPandas()
+    assert found.groupby("query_id").size().to_dict() == {0: 30, 10: 30, 20: 30, 30: 30}
+    assert (found.query_id != found.vec_id).all() and not found.duplicated(["query_id", "vec_id"]).any()
+
+
 def test_pipeline(spark, docs, none):
     assert len(corpus_pipeline.STAGES) == 5
     for table in (docs, none):
