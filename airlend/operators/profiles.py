@@ -18,6 +18,10 @@ from airlend.operators.dataset import next_day
 from airlend.operators.skew import filter_by_subscribers
 
 
+#: Loans and months are nearly as many as payments, so they are counted in so many times the usual number of tasks.
+LOAN_MONTH_TASKS = 4
+
+
 def _mean(total: Column, n: Column) -> Column:
     return total.cast("double") / n
 
@@ -91,10 +95,17 @@ def loan_size_repayment(repayment: DataFrame, step: int) -> DataFrame:
 
 
 def payments_per_loan_month(payments: DataFrame) -> DataFrame:
-    """month, n_loans, n_payments, mean_payments: payments per loan paid on in the month."""
+    """month, n_loans, n_payments, mean_payments: payments per loan paid on in the month.
+
+    The payments are dealt out by loan first. Where they come from a join on the loan, their counts would else be kept
+    in the join's own tasks, beside its sorts.
+    """
+    tasks = LOAN_MONTH_TASKS * int(payments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_loan = (
         payments.filter(F.col("loan_id").isNotNull())
-        .groupBy("loan_id", C.month("pay_ts").alias("month"))
+        .select("loan_id", C.month("pay_ts").alias("month"))
+        .repartition(tasks, "loan_id")
+        .groupBy("loan_id", "month")
         .agg(F.count("*").alias("n"))
     )
     return (

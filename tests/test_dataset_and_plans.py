@@ -368,3 +368,14 @@ def test_model_loans_without_subscriber_or_number_come_back(spark):
     back = {r.amount: r for r in tl.lookback_features(line, taken, [7]).collect()}
     assert back[3].sum_spend_7 == 9 and back[4].count_spend_7 == 0 and back[5].sum_spend_7 is None
     assert back[5].ts is not None and back[4].loan_id == 2
+
+
+def test_payments_per_loan_month_are_not_counted_in_the_join_s_tasks(spark):
+    paid = payments(spark, [("a", 1, at(0), 1), ("a", 1, at(1), 1), ("a", 1, at(40), 1), ("b", 2, at(2), 1), ("b", None, at(2), 1)])
+    taken = loans(spark, [("a", 1, at(0), 1), ("b", 2, at(0), 1)]).select("loan_id").hint("merge")
+    found = profiles.payments_per_loan_month(paid.join(taken, "loan_id"))
+    assert sorted((r.month, r.n_loans, r.n_payments, r.mean_payments) for r in found.collect()) == [
+        (at(0), 2, 3, 1.5), (at(30), 1, 1, 1.0)
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.index("keys=[loan_id") < plan.index("REPARTITION_BY_NUM") < plan.index("SortMergeJoin")
