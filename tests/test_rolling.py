@@ -246,3 +246,36 @@ def test_amounts_that_do_not_fit_raise_an_error(spark):
     line = timeline(spark, [("a", 1, at(0), 20_000_000_000, "L"), ("a", 2, at(1), 5, "L")])
     with pytest.raises(Exception, match="too large"):
         tl.lookback_features(line, None, [7]).collect()
+
+
+@pytest.mark.parametrize("paired", [0, 3, 32])
+def test_pairs_and_frames_give_the_same(spark, monkeypatch, paired):
+    monkeypatch.setattr(rolling, "PAIRED", paired)
+    windows = [1, 2, 7, 30]
+    rows = random_rows(21, n=300) + random_rows(22, n=60, subscribers=1) + [(f"few{k}", 1, at(k, 5), k, "L") for k in range(9)]
+    rows += [(f"few{k}", 0, at(k + d, 4), 7, "R") for k in range(9) for d in (-30, -2, 0, 3)]
+    rows = [(m, i if i == 0 else k + 1, ts, a, op) for k, (m, i, ts, a, op) in enumerate(rows)]
+    line = timeline(spark, rows)
+    model = line.filter("op = 'L'").selectExpr("msisdn", "loan_id", "ts AS loan_ts", "amount AS loan_amount")
+    ours = tl.timeline_features(line, model, windows, block_days=7).collect()
+    expected = brute_force(rows, windows)
+    assert len(ours) == len(expected)
+    for row in ours:
+        for name, value in expected[row.loan_id].items():
+            assert row[name] == value, (row.loan_id, name)
+
+
+def test_few_loans_of_a_block_are_paired_with_its_points_in_one_shuffle(spark):
+    line = timeline(spark, random_rows(23, n=200))
+    model = line.filter("op = 'L'").selectExpr("msisdn", "loan_id", "ts AS loan_ts", "amount AS loan_amount")
+    found = tl.timeline_features(line, model, [1, 7])
+    found.collect()
+    plan = executed_plan(found).split("Initial Plan")[0]
+    assert "ShuffledHashJoin [msisdn" in plan and "BuildLeft" in plan and "ReusedExchange" in plan
+
+
+def test_payloads_that_grouping_would_change_take_frames(spark):
+    points = spark.sql("SELECT 'a' AS msisdn, 100L AS epoch, 5L AS n")
+    wanted = spark.sql("SELECT 'a' AS msisdn, 200L AS epoch, named_struct('x', -0.0D) AS payload")
+    (row,) = rolling.rolling(points, {"n": "sum"}, [1], results=wanted).collect()
+    assert str(row.x) == "-0.0" and row.n_back_1 == 5
