@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from airlend.operators import censoring, dataset, profiles
 from airlend.operators import timeline as tl
 from airlend.plans.feature_table import FeatureConfig, build_feature_table, prepare_sources
+from airlend.sources.staging import Run
 from airlend.sources.tables import write_features
 from tests.helpers import START, at, by, loans, money, payments, recharges, utc
 
@@ -379,3 +380,13 @@ def test_payments_per_loan_month_are_not_counted_in_the_join_s_tasks(spark):
     ]
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.index("keys=[loan_id") < plan.index("REPARTITION_BY_NUM") < plan.index("SortMergeJoin")
+
+
+def test_model_loans_are_put_together_once(spark):
+    """The window check, the pairs and the frames all read them."""
+    with Run(spark, "tests-model-loans", keep_failed=False) as run:
+        table = build_feature_table(*lending(spark), config(), run=run)
+        assert run.tables() == ["model-loans", "repaid-loans"]
+        assert table.count() > 0
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "date_trunc" not in plan and "burst_start" not in plan
